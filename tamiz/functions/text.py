@@ -13,7 +13,7 @@ WS_BODY = r"\s\x0B\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
 WS = f"[{WS_BODY}]"
 
 #: The same class for Python's re / regex modules.
-PY_WS = "[\t\n\x0b\x0c\r    -     　﻿]"
+PY_WS = "[\t\n\x0b\x0c\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
 def text_or_empty(c: Column) -> Column:
@@ -46,7 +46,7 @@ def accent_table() -> tuple[str, str]:
         full = unicodedata.normalize("NFD", ch)
         if full == ch:
             continue
-        bare = "".join(x for x in full if not "̀" <= x <= "ͯ")
+        bare = "".join(x for x in full if not "\u0300" <= x <= "\u036f")
         if len(bare) == 1 and bare != ch:
             src.append(ch)
             dst.append(bare)
@@ -56,7 +56,7 @@ def accent_table() -> tuple[str, str]:
 def strip_marks(c: Column) -> Column:
     """NFD and removal of U+0300-036F, without a UDF."""
     src, dst = accent_table()
-    return F.regexp_replace(F.translate(c, src, dst), "[̀-ͯ]", "")
+    return F.regexp_replace(F.translate(c, src, dst), r"[\u0300-\u036F]", "")
 
 
 def fold(c: Column) -> Column:
@@ -80,7 +80,7 @@ def py_fold(s: str | None) -> str:
     """fold() for driver-side configuration values."""
     import re
 
-    t = "".join(x for x in unicodedata.normalize("NFD", s or "") if not "̀" <= x <= "ͯ").lower()
+    t = "".join(x for x in unicodedata.normalize("NFD", s or "") if not "\u0300" <= x <= "\u036f").lower()
     return re.sub(f"{PY_WS}+", " ", t).strip(" ")
 
 
