@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tamiz.llm import components, encodings, survivors, tokens
+from tamiz.llm import components, encodings, leakage, mapping, survivors, tokens, truncation
 
 QUERIES = {
     "p3_found": survivors.found,
     "p3_truth": survivors.truth,
+    "p4_found": mapping.found,
     "p5_found": components.found_groups,
     "p7_found": encodings.found,
     "p8_ids": tokens.ids,
+    "p9_found": leakage.found,
+    "p10_found": truncation.found,
+    "p10_rates": truncation.rates,
 }
 
 _GROUPS = """
