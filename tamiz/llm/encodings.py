@@ -18,7 +18,7 @@ READ_AS = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman")
 LETTERS = "áéíóúüñãõâêôàçëïöäèìòùîûÿœæøåß"
 #: Letters and marks that clean words may have beyond ASCII.
 MARKS = "ºª’‘“”«»¿¡—–·"
-LOST = "�"
+LOST = "\uFFFD"
 
 
 @lru_cache(maxsize=None)

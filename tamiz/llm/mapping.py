@@ -35,7 +35,7 @@ LEAST, MARGIN = 0.74, 0.015
 def fold(text: str) -> str:
     """Lower case without marks; lost characters become a question mark."""
     t = unicodedata.normalize("NFD", text.lower().replace(LOST, "?"))
-    return "".join(c for c in t if not "̀" <= c <= "ͯ")
+    return "".join(c for c in t if not "\u0300" <= c <= "\u036F")
 
 
 @lru_cache(maxsize=200_000)

@@ -21,9 +21,9 @@ LIMIT_TEXTS, LIMIT_TIMES, LIMIT_SHARE, LIMIT_AROUND = 5, 8, 0.02, 10
 #: The looked-up side is broadcast up to this many rows (about 20 bytes each), else joined by shuffle.
 MAX_BROADCAST_ROWS = 1_000_000
 
-_TAIL = r"(?:\s|\.{2,}|…|[​-‏⁠﻿])+\z"
+_TAIL = r"(?:\s|\.{2,}|…|[\u200B-\u200F\u2060\uFEFF])+\z"
 _CLOSED = r"[.?!][»”\"')\]]*\z"
-_DANGLING = r"(?:[,;:(\[¿¡]|�)\z"
+_DANGLING = r"(?:[,;:(\[¿¡]|\uFFFD)\z"
 #: A short note or sign set behind a finished sentence.
 _NOTE = r"[.?!] +(?:[^a-zA-Z0-9À-ɏ\s¿¡][^\n]{0,24}|(?=[^\n]{1,24}\z)[^\n]*[\p{S}\p{No}][^\n]*)\z"
 
