@@ -32,19 +32,21 @@ def star_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     folder every round. Raises RuntimeError if `max_rounds` is not enough instead of giving wrong labels.
     """
     e = cut(tidy_edges(edges))
-    seen = None
+    state = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+    seen = state(e)
     for _ in range(max_rounds):
+        n = seen[0]
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
         # Large star: neighbours above u hang below the smallest vertex around u.
-        large = skewed_lookup(e, low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = skewed_lookup(e, low, "u", rows=n).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
         large = cut(large.unionByName(low.where("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
         # Small star: of the smaller neighbours of a, the smallest takes the others.
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("w"))
         least = down.groupBy("u").agg(F.min("w").alias("m"))
-        small = skewed_lookup(down, least, "u").select(F.col("w").alias("a"), F.col("m").alias("b")).where("a <> b")
-        e = cut(tidy_edges(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).select(F.col("a").alias("v"), F.col("b").alias("u"))))
-        now = e.agg(F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = skewed_lookup(down, least, "u", rows=3 * n).select(F.col("w").alias("v"), F.col("m").alias("u"))
+        e = cut(tidy_edges(small.unionByName(least.select(F.col("u").alias("v"), F.col("m").alias("u")))))
+        now = state(e)
         if now == seen:
             leaves = e.select(F.col("v").alias("id"), F.col("u").alias("label"))
             return leaves.unionByName(e.select(F.col("u").alias("id"), F.col("u").alias("label")).distinct())

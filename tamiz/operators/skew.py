@@ -11,15 +11,18 @@ from tamiz.session import cut
 HOT_ROWS, HOT_SHARE = 200_000, 1000
 
 
-def skewed_lookup(big: DataFrame, table: DataFrame, key: str, how: str = "inner", weight: str | None = None) -> DataFrame:
+def skewed_lookup(big: DataFrame, table: DataFrame, key: str, how: str = "inner", weight: str | None = None, rows: int | None = None) -> DataFrame:
     """`big JOIN table USING (key)` where `table` has each key once.
 
     Keys with more than max(HOT_ROWS, rows / HOT_SHARE) rows are at most HOT_SHARE in number, so their entries
     of `table` are broadcast and their rows stay where they are; all other keys shuffle, none of them heavy.
-    `weight` names a column of `table` that already holds the rows per key. A null key matches nothing.
+    `weight` names a column of `table` that already holds the rows per key; `rows` is a known upper bound of the rows
+    of `big`, which spares counting them. A null key matches nothing.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
+    if rows is not None and rows <= HOT_ROWS:
+        return big.join(table, key, how)
     if weight is None:
         sizes = big.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
         total = big.count()
