@@ -159,6 +159,8 @@ def _best(value: str, numbers, strict: bool = False) -> str | None:
             continue
         odd = sum(ch not in _usual() for ch in t)
         rare = sum(not ch.isascii() and ch not in _COMMON for ch in t)
+        if strict and rare:
+            continue
         unclean = sum(not is_clean_word(w) for w in re.split(rf"[{MARKS}\xa0\x00-@\[-`{{-~]+", t) if w)
         found.append((odd, unclean, rare, chains()[i][0][0] != "utf-8", -len(chains()[i]), i, t))
     return min(found)[-1] if found else None

@@ -22,6 +22,7 @@ LIMIT_TEXTS, LIMIT_TIMES, LIMIT_SHARE, LIMIT_AROUND = 5, 8, 0.02, 10
 MAX_BROADCAST_ROWS = 1_000_000
 
 _TAIL = r"(?:\s|\.{2,}|…|[\u200B-\u200F\u2060\uFEFF])+\z"
+_DOTS = r"(?:\.{2,}|…)+\z"
 _CLOSED = r"[.?!][»”\"')\]]*\z"
 _DANGLING = r"(?:[,;:(\[¿¡]|\uFFFD)\z"
 #: A short note or sign set behind a finished sentence.
@@ -36,9 +37,12 @@ def _tokens(text: Column) -> Column:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """`doc_id, source, bare, open, a`: text without trailing marks, whether it lacks a closing stop, its tokens."""
+    """`doc_id, source, bare, chars, bytes, open, a`: text without trailing marks, its size without trailing dots (a cut
+    may fall behind a blank), whether it lacks a closing stop, its tokens."""
     bare = F.regexp_replace(F.col("text"), _TAIL, "")
-    rows = docs.where("text is not null").select("doc_id", "source", bare.alias("bare")).where("bare <> ''")
+    kept = F.regexp_replace(F.col("text"), _DOTS, "")
+    sizes = (F.length(kept).alias("chars"), F.octet_length(kept).alias("bytes"))
+    rows = docs.where("text is not null").select("doc_id", "source", bare.alias("bare"), *sizes).where("bare <> ''")
     return rows.select("*", (~F.col("bare").rlike(_CLOSED)).alias("open"), _tokens(F.col("bare")).alias("a"))
 
 
@@ -50,7 +54,7 @@ def _gram(a: Column, end: Column, k: int) -> Column:
 
 def field_limits(open_docs: DataFrame) -> DataFrame:
     """`source, medida, largo`: lengths, in characters (c) and UTF-8 bytes (b), at which a source cuts."""
-    sizes = F.array(F.struct(F.lit("c").alias("medida"), F.length("bare").alias("largo")), F.struct(F.lit("b").alias("medida"), F.octet_length("bare").alias("largo")))
+    sizes = F.array(F.struct(F.lit("c").alias("medida"), F.col("chars").alias("largo")), F.struct(F.lit("b").alias("medida"), F.col("bytes").alias("largo")))
     counts = open_docs.select("source", F.inline(sizes)).groupBy("source", "medida", "largo").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("source", "medida")
     near = F.sum("n").over(by.orderBy("largo").rangeBetween(-LIMIT_AROUND, LIMIT_AROUND)) - F.col("n")
@@ -73,7 +77,7 @@ def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataF
     last = F.element_at("a", -1)
     ends = F.array(*[_gram(F.col("a"), closing, k) for k in range(1, CONTEXT + 1)])
     asked = rows.where("open").select(
-        "doc_id", "source", F.length("bare").alias("chars"), F.octet_length("bare").alias("bytes"), "bare",
+        "doc_id", "source", "chars", "bytes",
         F.when((F.size("a") > 0) & (last != "|"), last).alias("last"), ends.alias("grams"), F.col("bare").rlike(_NOTE).alias("note"), F.col("bare").rlike(_DANGLING).alias("dangling"),
     )
     asked = cut(asked.withColumn("row", F.monotonically_increasing_id()))
@@ -105,7 +109,7 @@ def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataF
 
     levels = asked.select("row", F.posexplode("grams").alias("k", "g")).where("g is not null").join(side(counts), "g").where(F.col("n") >= ENOUGH)
     longest = levels.groupBy("row").agg(F.max_by(F.col("e") / F.col("n"), "k").alias("p"))
-    joined = asked.drop("bare", "grams").join(near, "row").join(longest, "row", "left").join(side(stems), "last", "left")
+    joined = asked.drop("grams").join(near, "row").join(longest, "row", "left").join(side(stems), "last", "left")
     why = (
         F.when(F.col("note") & ~F.col("limit"), F.lit(None))
         .when(F.col("limit"), "limite")
