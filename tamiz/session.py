@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,24 @@ def build_session(master: str = "local[*]", app: str = "tamiz", **conf: str) ->
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context, wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tamiz_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="tamiz-package-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "tamiz.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(folder / "tamiz.zip"))
+    sc._tamiz_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
