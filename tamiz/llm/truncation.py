@@ -47,9 +47,15 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 
 def _gram(a: Column, end: Column, k: int) -> Column:
-    """Hash of the k tokens that end at place `end` (from 0), null across a border or the beginning."""
-    run = F.slice(a, end - (k - 2), k)
-    return F.when((end >= k - 1) & ~F.array_contains(run, "|"), F.xxhash64(F.lit(k), run))
+    """Hash of the k tokens that end at place `end` (from 0), null across a border or the beginning.
+
+    Single array reads, not slices: they stay inside generated code.
+    """
+    run = [F.get(a, end - j) for j in range(k)]
+    whole = run[0] != "|"
+    for t in run[1:]:
+        whole = whole & (t != "|")
+    return F.when(whole, F.xxhash64(F.lit(k), *run))
 
 
 def field_limits(open_docs: DataFrame) -> DataFrame:
