@@ -187,6 +187,8 @@ def broken_values(cells, corpora: list | None = None):
     from tamiz.session import cut
 
     keys = [c for c in cells.columns if c != "valor"]
+    if {"token", "hits", "texto"} & set(keys):
+        raise ValueError("key columns can't be named token, hits or texto")
     suspect = F.col("valor").rlike(r"[^\x00-\x7F]|\?")
     odd = F.col("token").rlike(r"[^\x00-\x7F]")
     texts = cells.select("valor")
@@ -221,12 +223,15 @@ def broken_values(cells, corpora: list | None = None):
     schema = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys) + ", texto string"
 
     def mend(batches):
-        for pdf in batches:
-            texts = [restore(v, [] if h is None else [(x["token"], x["original"], x["cadena"]) for x in h]) for v, h in zip(pdf["valor"], pdf["hits"])]
-            out = pdf[keys].assign(texto=texts)
-            yield out[out["texto"].notna()]
+        import pyarrow as pa
+
+        for b in batches:
+            pairs = zip(b.column("valor").to_pylist(), b.column("hits").to_pylist())
+            texts = pa.array([restore(v, [(x["token"], x["original"], x["cadena"]) for x in h or []]) for v, h in pairs], pa.string())
+            out = pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], texts], [*keys, "texto"])
+            yield out.filter(texts.is_valid())
 
-    return rows.mapInPandas(mend, schema)
+    return rows.mapInArrow(mend, schema)
 
 
 def found(spark, sf_dir: str):

@@ -228,21 +228,25 @@ def map_values(cells: DataFrame, entries: DataFrame, max_entries: int = 200_000)
     """Add `ref_id` to `cells(.., valor)`: the id of the entry of `entries(ref_id, nombre)` that is meant, else 0.
 
     Null and blank values are 0, an empty list maps everything to 0. Entries with a null or blank name are
-    left out; of equal names the smallest id counts. One narrow pass without a shuffle: each task holds the list, which is
-    counted first and refused above `max_entries`; every distinct value of a task is resolved once.
+    left out; of equal names the smallest id counts. One narrow pass without a shuffle: a `ref_id` that is
+    there already is replaced; each task holds the list, which is counted first and refused above `max_entries`; every distinct value of a task is resolved once.
     """
     rows = entries.where(~is_blank(F.col("nombre")) & F.col("ref_id").isNotNull()).select(F.col("ref_id").cast("bigint"), "nombre").limit(max_entries + 1).collect()
     if len(rows) > max_entries:
         raise ValueError(f"more than {max_entries} entries")
     known = [(r[0], r[1]) for r in rows]
+    cells = cells.drop("ref_id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema) + ", ref_id bigint"
 
     def run(batches):
+        import pyarrow as pa
+
         m = Matcher(known)
-        for pdf in batches:
-            yield pdf.assign(ref_id=[m.match(v) if v is not None else 0 for v in pdf["valor"]])
+        for b in batches:
+            ids = pa.array([0 if v is None else m.match(v) for v in b.column("valor").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, "ref_id"])
 
-    return cells.mapInPandas(run, schema)
+    return cells.mapInArrow(run, schema)
 
 
 def found(spark, sf_dir: str) -> DataFrame:

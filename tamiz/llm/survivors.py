@@ -59,7 +59,7 @@ def value_truth(claims: DataFrame, rounds: int = 8, max_sources: int = 100_000)
     several. Silence enters as one constant per object, so work follows the claims and not values times sources.
     Nulls in any column are left out; repeated claims count once; no claims give no rows.
     """
-    c = cut(claims.where(F.expr("objeto is not null and campo is not null and valor is not null and fuente is not null")).distinct())
+    c = cut(claims.select("objeto", "campo", "valor", "fuente").where(F.expr("objeto is not null and campo is not null and valor is not null and fuente is not null")).distinct())
     obj = ["objeto", "campo"]
     cover = cut(c.select(*obj, "fuente").distinct())
     sources = cover.select("fuente").distinct().select("fuente", F.lit(0.8).alias("sens"), F.lit(0.9).alias("spec"), F.lit(0.5).alias("prior"))

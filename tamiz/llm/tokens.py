@@ -133,11 +133,12 @@ class TreeEncoder:
 
 def _encode_batches(vocabulary: str, run_bytes: int):
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         t = TreeEncoder(vocabulary, run_bytes)
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [t.encode(x) for x in pdf["text"]]})
+        for b in batches:
+            ids = pa.array([t.encode(x) for x in b.column("text").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], ["doc_id", "ids"])
 
     return run
 
@@ -150,9 +151,9 @@ def encode_corpus(docs: DataFrame, vocabulary: str | None = None, piece_chars: i
     and put together by their position.
     """
     vocabulary = vocabulary or default_vocabulary()
-    rows = docs.select("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     n = F.length("text")
-    short = rows.where(n.isNull() | (n <= piece_chars)).mapInPandas(_encode_batches(vocabulary, run_bytes), "doc_id bigint, ids array<int>")
+    short = rows.where(n.isNull() | (n <= piece_chars)).mapInArrow(_encode_batches(vocabulary, run_bytes), "doc_id bigint, ids array<int>")
     # Each long row gets its own number, so equal ids don't mix.
     pieces = rows.where(n > piece_chars).select(
         "doc_id", F.struct(F.monotonically_increasing_id().alias("row"), n.alias("n"), F.xxhash64("text").alias("h")).alias("key"), "text"
@@ -163,33 +164,27 @@ def encode_corpus(docs: DataFrame, vocabulary: str | None = None, piece_chars: i
     )
 
     def encode_parts(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         t = TreeEncoder(vocabulary, run_bytes)
-        for pdf in batches:
-            heads, ids, tails = [], [], []
-            for part in pdf["part"]:
-                h, i, s = t.split_part(part)
-                heads.append(h)
-                ids.append(i)
-                tails.append(s)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": pdf["key"], "k": pdf["k"], "head": heads, "ids": ids, "tail": tails})
+        for b in batches:
+            heads, ids, tails = zip(*map(t.split_part, b.column("part").to_pylist())) if b.num_rows else ((), (), ())
+            made = [pa.array(heads, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(tails, pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), b.column("k"), *made], ["doc_id", "key", "k", "head", "ids", "tail"])
 
     key_type = pieces.schema["key"].dataType.simpleString()
-    done = pieces.repartition("key", "k").mapInPandas(encode_parts, f"doc_id bigint, key {key_type}, k int, head string, ids array<int>, tail string")
+    done = pieces.repartition("key", "k").mapInArrow(encode_parts, f"doc_id bigint, key {key_type}, k int, head string, ids array<int>, tail string")
     whole = done.groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("k", "head", "ids", "tail"))).alias("parts"))
 
     def join_parts(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         t = TreeEncoder(vocabulary, run_bytes)
-        for pdf in batches:
-            out = []
-            for parts in pdf["parts"]:
-                out.append(t.join_parts([(p["head"], list(p["ids"]), p["tail"]) for p in parts]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": out})
+        for b in batches:
+            out = [t.join_parts([(p["head"], p["ids"], p["tail"]) for p in parts]) for parts in b.column("parts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return short.unionByName(whole.mapInPandas(join_parts, "doc_id bigint, ids array<int>"))
+    return short.unionByName(whole.mapInArrow(join_parts, "doc_id bigint, ids array<int>"))
 
 
 def ids(spark, sf_dir: str) -> DataFrame:
