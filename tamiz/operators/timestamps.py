@@ -88,11 +88,12 @@ def normalise_moments(df: DataFrame, value: str, zone: str, order: str, out: str
 
     Null and blank values give null. `zone` and `order` name the columns with the default
     IANA zone and `dmy`/`mdy` of the row's source; with a null or unknown zone a time without
-    its own zone is `ilegible`, a null order counts as `dmy`. Column names are kept apart by a
+    its own zone is `ilegible`, a null order counts as `dmy`; a column `out` that is there already is replaced. Column names are kept apart by a
     `__ts_` prefix; all other columns pass through. One narrow projection, no shuffle.
     """
     known = F.array(*map(F.lit, known_zones(df)))
     p = "__ts_"
+    df = df.drop(out)
     passed = df.columns
     c = lambda n: F.col(p + n)
     add = lambda __df, **cols: once(__df, **{p + k: v for k, v in cols.items()})

@@ -62,7 +62,7 @@ MOMENTS = [
 
 def test_moments(spark):
     rows = [(i, "Europe/Madrid", "dmy", t, "choca") for i, (t, _) in enumerate(MOMENTS)]
-    df = spark.createDataFrame(rows, "i int, z string, o string, t string, resultado_viejo string")
+    df = spark.createDataFrame(rows, "i int, z string, o string, t string, resultado string")
     got = {r["i"]: r["resultado"] for r in T.normalise_moments(df, "t", "z", "o").collect()}
     assert {MOMENTS[i][0]: v for i, v in got.items()} == dict(MOMENTS)
 
