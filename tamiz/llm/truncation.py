@@ -32,7 +32,8 @@ _NOTE = r"[.?!] +(?:[^a-zA-Z0-9À-ɏ\s¿¡][^\n]{0,24}|(?=[^\n]{1,24}\z)[^\n]*[\
 def _tokens(text: Column) -> Column:
     """Folded words, numbers as 0, sentence borders as |."""
     t = F.regexp_replace(F.lower(strip_marks(text)), r"[.?!]+(?=[\s»”\"')\]]|\z)|\n+", " | ")
-    t = F.regexp_replace(F.regexp_replace(t, "[^a-z0-9|]+", " "), r"(?<![a-z0-9])[0-9]+(?![a-z0-9])", "0")
+    t = F.regexp_replace(F.regexp_replace(t, "[^a-z0-9| ]+", " "), r"(?<![a-z0-9])[0-9]+(?![a-z0-9])", "0")
+    # Single blanks stay as they are: replacing each would cost more than all the rest.
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
