@@ -22,7 +22,8 @@ MAX_BROADCAST_ROWS = 200_000
 
 def words(text: Column) -> Column:
     """Runs of a-z and 0-9 after removing diacritics and lower-casing; null and empty texts have none."""
-    flat = F.regexp_replace(F.lower(strip_marks(F.coalesce(text, F.lit("")))), "[^a-z0-9]+", " ")
+    flat = F.regexp_replace(F.lower(strip_marks(F.coalesce(text, F.lit("")))), "[^a-z0-9 ]+", " ")
+    # Single blanks stay as they are: replacing each would cost more than all the rest.
     return F.filter(F.split(flat, " "), lambda w: w != "")
 
 
