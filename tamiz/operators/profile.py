@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 from tamiz.session import cut, small_side
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: Types whose order isn't that of their text.
+_ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _BIG = "decimal(38,0)"
 
 
@@ -36,17 +38,25 @@ def merge_counts(*batches: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, batches).groupBy("carga", "columna", "valor").agg(F.sum("n").alias("n"))
 
 
-def column_profile(counts: DataFrame, patterns: dict[str, str] | None = None, by_load: bool = True) -> DataFrame:
+def column_profile(counts: DataFrame, patterns: dict[str, str] | None = None, by_load: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """`[carga,] columna, filas, nulos, vacios, distintos, minimo, maximo, violaciones`.
 
-    Distincts are exact and without null; ranges are of the text; `violaciones` counts non-empty values
-    that don't match the column's whole-value pattern (null for a column without one).
+    Distincts are exact and without null; ranges follow the order of the column's type in `schema`, that of the counted
+    table, and are rendered as text (columns of text, and those not in `schema`, in the order of the text); `violaciones`
+    counts non-empty values that don't match the column's whole-value pattern (null for a column without one).
     """
     v, n = F.col("valor"), F.col("n")
     hits = F.lit(None).cast("bigint")
     for name, pattern in (patterns or {}).items():
         miss = F.when((v != "") & ~v.rlike(rf"\A(?:{pattern})\z"), n).otherwise(0)
         hits = F.when(F.col("columna") == name, miss).otherwise(hits)
+    typed: dict[str, list[str]] = {}
+    for f in schema or ():
+        if isinstance(f.dataType, _ORDERED):
+            typed.setdefault(f.dataType.simpleString(), []).append(f.name)
+    of = [F.when(F.col("columna").isin(names), v.try_cast(kind)) for kind, names in typed.items()]
+    text = F.when(~F.col("columna").isin([c for names in typed.values() for c in names]), v) if typed else v
+    extreme = lambda f: F.coalesce(*[f(x).cast("string") for x in (text, *of)])
     keys = ["carga", "columna"] if by_load else ["columna"]
     if not by_load:
         counts = counts.groupBy("columna", "valor").agg(F.sum("n").alias("n"))
@@ -55,8 +65,8 @@ def column_profile(counts: DataFrame, patterns: dict[str, str] | None = None, by
         F.sum(F.when(v.isNull(), n).otherwise(0)).alias("nulos"),
         F.sum(F.when(v == "", n).otherwise(0)).alias("vacios"),
         F.count("valor").alias("distintos"),
-        F.min("valor").alias("minimo"),
-        F.max("valor").alias("maximo"),
+        extreme(F.min).alias("minimo"),
+        extreme(F.max).alias("maximo"),
         F.sum(hits).alias("violaciones"),
     )
 
@@ -156,7 +166,7 @@ def table_profile(spark, sf_dir: str) -> DataFrame:
     """The profile of every column of salida_adv1 by load."""
     t = spark.read.parquet(f"{sf_dir}/salida_adv1.parquet")
     patterns = {k: "|".join(v) for k, v in ALLOWED.items()} | {"cuil_norm": "[0-9]{11}"}
-    return column_profile(value_counts(t, "carga_id", [c for c in t.columns if c != "carga_id"]), patterns)
+    return column_profile(value_counts(t, "carga_id", [c for c in t.columns if c != "carga_id"]), patterns, schema=t.schema)
 
 
 def numeric_shifts(spark, sf_dir: str) -> DataFrame:

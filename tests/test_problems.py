@@ -98,6 +98,29 @@ def test_profile(spark):
     assert P.column_profile(P.value_counts(t.limit(0), "carga", ["valor"])).count() == 0
 
 
+def test_profile_ranges(spark):
+    """Numbers range as numbers, text as text, whether by load or over all, from counts read at once or merged."""
+    rows = [(1, -199, "9.5", "9", "-199"), (1, 9, "-10.25", "10", "9"), (1, 105, "100", "", "105"), (2, 95, None, None, None), (2, -10, None, "b", "z"), (2, -1, None, "a", "")]
+    t = spark.createDataFrame(rows, "carga long, n int, d string, s string, u string").selectExpr("carga", "n", "cast(d as decimal(9,2)) d", "s", "u", "n * 1000000000000L m")
+    columns = ["n", "d", "s", "u", "m"]
+    counts = P.merge_counts(*[P.value_counts(t.where(f"n % 2 = {k}"), "carga", columns) for k in (0, 1, -1)])
+    got = {(r["carga"], r["columna"]): (r["minimo"], r["maximo"]) for r in P.column_profile(counts, schema=t.schema).collect()}
+    assert got == {
+        (1, "n"): ("-199", "105"), (1, "d"): ("-10.25", "100.00"), (1, "s"): ("", "9"), (1, "u"): ("-199", "9"), (1, "m"): ("-199000000000000", "105000000000000"),
+        (2, "n"): ("-10", "95"), (2, "d"): (None, None), (2, "s"): ("a", "b"), (2, "u"): ("", "z"), (2, "m"): ("-10000000000000", "95000000000000"),
+    }
+    whole = {r["columna"]: (r["minimo"], r["maximo"]) for r in P.column_profile(counts, by_load=False, schema=t.schema).collect()}
+    assert whole["n"] == ("-199", "105") and whole["u"] == ("", "z")
+
+
+def test_table_profile_ranges(spark, tmp_path):
+    """The registered query takes the ranges by the table's own types."""
+    rows = [(i, 1, n, n, "celular") for i, n in enumerate((-199, 9, 105, 95, None))]
+    spark.createDataFrame(rows, "id_fila long, carga_id long, puntaje int, duplicado_de long, telefono_tipo string").write.parquet(f"{tmp_path}/salida_adv1.parquet")
+    got = {r["columna"]: (r["minimo"], r["maximo"]) for r in P.table_profile(spark, str(tmp_path)).collect()}
+    assert got["puntaje"] == got["duplicado_de"] == ("-199", "105") and got["id_fila"] == ("0", "4") and got["telefono_tipo"] == ("celular", "celular")
+
+
 def test_share_shifts_brute(spark):
     rnd = random.Random(2)
     rows = [(k, rnd.choices(["a", "b", "", None, "c"], [8, 3 if k != 3 else 30, 1, 1, 0 if k else 6])[0]) for k in range(6) for _ in range(80)]
