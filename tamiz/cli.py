@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import shutil
 import sys
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from tamiz.operators.rules import optout_sets
 from tamiz.plans.config import ConfigError, Filler, OptOut, PlanConfig, Segment, filler_from, read_json, segment_from
 from tamiz.plans.pipeline import COMMERCIAL, PLANS, audit_columns, build, ranked
 from tamiz.session import build_session
-from tamiz.sources.gate import RejectedFile, read_leads, read_optout
+from tamiz.sources.gate import RejectedFile, read_leads, read_optout, whole_lists
 from tamiz.sources.sinks import write_csv, write_text
 
 
@@ -46,9 +47,10 @@ def main(argv: list[str] | None = None) -> int:
     paths = {k: out / f"{k}_{stem}.{'csv' if k in ('comercial', 'auditoria') else 'md'}" for k in ("comercial", "auditoria", "reporte", "ficha_entrada")}
     for p in paths.values():
         p.unlink(missing_ok=True)
+    shutil.rmtree(whole_lists(str(paths["ficha_entrada"])), ignore_errors=True)
     spark = build_session()
     try:
-        leads, _ = read_leads(spark, o.archivo, mapping, on_profile=lambda p: write_text(p.render(), str(paths["ficha_entrada"])))
+        leads, _ = read_leads(spark, o.archivo, mapping, on_profile=lambda p: p.write(str(paths["ficha_entrada"])))
         sets = optout_sets(read_optout(spark, o.baja))[:2] if o.baja else None
         done = build(leads, o.fase, config, sets).persist()
         if int(o.fase) < 6:

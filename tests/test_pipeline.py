@@ -141,6 +141,31 @@ def test_gate(spark, data, tmp_path):
         read_leads(spark, str(empty))
 
 
+def lines_of(folder):
+    return [x for f in sorted(folder.glob("part-*")) for x in f.read_text(encoding="utf-8").splitlines()]
+
+
+def test_whole_profile(spark, tmp_path):
+    """Nothing of a long profile is lost: counts are of all, lists beyond the profile's lines stand whole beside it."""
+    f, out = tmp_path / "long.csv", tmp_path / "ficha_long.md"
+    junk = [f"nota {i},x" if i < 20 else f"nota {i}" if i % 2 else "" for i in range(1000)]
+    short = [f"Ana {i},,1145551111" for i in range(300)]
+    trimmed = [f"Eva {i},,1145551111,Haedo,origen {i:03},2026-01-01,," for i in range(250)]
+    full = [f"Leo {i},,1145551111,Haedo,origen {i:03},2026-01-01" for i in range(700)]
+    f.write_text("\n".join([*junk, ",".join(CANONICAL), *short, *trimmed, *full]) + "\n", encoding="utf-8")
+    _, p = read_leads(spark, str(f), on_profile=lambda x: x.write(str(out)))
+    assert (p.header_line, p.skipped_rows, p.short_rows, p.trimmed_rows, p.distinct_origins, p.rows) == (1001, 1000, 300, 250, 701, 1250)
+    assert sum("campos vacios de mas" in w for w in p.warnings) == 200 and len(p.short_list) == 200 and p.warnings[0].startswith("linea 1302:")
+    text = out.read_text(encoding="utf-8")
+    for line in ("| Lineas salteadas arriba | 1000 |", "| Filas con campos vacios de mas | 250 |", "| Valores de origen distintos | 701 |", "salteadas: primeras 200 de 1000; todas en ficha_long_listas/salteadas"):
+        assert line in text
+    whole = tmp_path / "ficha_long_listas"
+    assert lines_of(whole / "salteadas") == [f"linea {i + 1}: {x or '(vacia)'}" for i, x in enumerate(junk)]
+    assert lines_of(whole / "incompletas") == [f"linea {1002 + i}: 3 de 6 campos" for i in range(300)]
+    assert lines_of(whole / "recortadas") == [f"linea {1302 + i}: campos vacios de mas al final, recortados" for i in range(250)]
+    assert lines_of(whole / "origenes") == ["(vacio): 300", *[f"origen {i:03}: {1 + (i < 250)}" for i in range(700)]]
+
+
 def sheet(path, rows):
     cells = []
     for i, row in enumerate(rows, 1):
@@ -158,6 +183,15 @@ def test_spreadsheet(spark, tmp_path):
     assert build(leads, "01").where("id_fila = 1").first()["telefono_tipo"] == "invalido"
 
 
+def test_whole_notes(spark, tmp_path):
+    p, out = tmp_path / "n.xlsx", tmp_path / "ficha_n.md"
+    sheet(p, [list(CANONICAL), *[["Ana", "", 1141617956, "Castelar", "referido", "2026-01-01"] for _ in range(230)]])
+    _, prof = read_leads(spark, str(p), on_profile=lambda x: x.write(str(out)))
+    listed = lines_of(tmp_path / "ficha_n_listas" / "numericas")
+    assert (prof.noted_rows, len(prof.warnings), len(listed)) == (230, 200, 230) and listed[-1].startswith("registro 231: telefono llego")
+    assert "| Filas con numeros de planilla | 230 |" in out.read_text(encoding="utf-8")
+
+
 def test_cli(data, tmp_path, spark):
     assert cli.main([]) == 2 and cli.main([str(tmp_path / "none.csv")]) == 2
     assert cli.main([str(data / "prose.txt"), "--salida-dir", str(tmp_path)]) == 1 and (tmp_path / "ficha_entrada_prose.md").exists() and not (tmp_path / "comercial_prose.csv").exists()
