@@ -16,6 +16,8 @@ from tamiz.session import cut
 
 #: Longest run of last words that is looked up, least count that says something, most share of sentence ends in a cut.
 CONTEXT, ENOUGH, RARE_END = 5, 20, 0.02
+#: A last token seen fewer than ENOUGH times is a stump if the words that go on with it are together so many times as frequent.
+STUMP_TIMES = 100
 #: A field limit: at least so many texts, so many times the lengths around it, this share of the source's open texts.
 LIMIT_TEXTS, LIMIT_TIMES, LIMIT_SHARE, LIMIT_AROUND = 5, 8, 0.02, 10
 #: The looked-up side is broadcast up to this many rows (about 20 bytes each), else joined by shuffle.
@@ -74,8 +76,8 @@ def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataF
     """`doc_id, source, motivo` of the rows of `docs(doc_id, source, text)` whose text lost its end.
 
     `motivo` is the first that holds: `limite` (its length is a limit of its source), `colgada` (ends in a comma, colon,
-    opening sign, speaker's label or half a character), `palabra` (the last token is no word of the corpus but a proper prefix of
-    one), `frase` (its last words, as many as are known often enough, hardly ever end a sentence). Trailing dots and white
+    opening sign, speaker's label or half a character), `palabra` (the last token is a proper prefix of words of the corpus and
+    either no word itself, or a rare one that never ends a sentence beside words that are far more frequent), `frase` (its last words, as many as are known often enough, hardly ever end a sentence). Trailing dots and white
     space don't count, nor a short note behind a finished sentence. Null, empty and blank texts and texts with a
     closing stop are never cut. Counts are of all documents; repeated rows keep their own rows; a null source is its own source.
     """
@@ -107,12 +109,15 @@ def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataF
     grams = words.select(is_end.alias("e"), F.explode(F.array(*[_gram(F.col("a"), F.col("i"), k) for k in range(1, CONTEXT + 1)])).alias("g"))
     counts = cut(grams.join(side(wanted), "g").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("e").cast("bigint")).alias("e")))
 
-    # The vocabulary as a trie: every proper prefix of a distinct word is a node. Only unknown last tokens are walked.
+    # The vocabulary as a trie: every proper prefix of a distinct word is a node, with the counts of the words below it.
+    # Only last tokens that are unknown, or rare and never at a sentence's end, are walked.
     unknown = asked.select("last", F.get("grams", F.lit(0)).alias("g")).where("last is not null and last <> '0'").distinct()
-    unknown = cut(unknown.join(counts.select("g"), "g", "left_anti").select("last").distinct())
-    vocabulary = words.select(F.get("a", F.col("i")).alias("w")).distinct()
-    nodes = vocabulary.where("length(w) > 1").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.col("w").substr(F.lit(1), k))).alias("last"))
-    stems = nodes.join(side(unknown), "last").select("last").distinct().withColumn("stem", F.lit(True))
+    unknown = unknown.join(counts, "g", "left").na.fill(0, ["n", "e"]).where((F.col("n") < ENOUGH) & (F.col("e") == 0))
+    unknown = cut(unknown.select("last", F.col("n").alias("own")))
+    vocabulary = words.groupBy(F.get("a", F.col("i")).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    nodes = vocabulary.where("length(w) > 1").select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.col("w").substr(F.lit(1), k))).alias("last"))
+    below = nodes.join(side(unknown), "last").groupBy("last", "own").agg(F.sum("n").alias("n"))
+    stems = below.where(F.col("n") >= STUMP_TIMES * F.col("own")).select("last", F.lit(True).alias("stem"))
 
     levels = asked.select("row", F.posexplode("grams").alias("k", "g")).where("g is not null").join(side(counts), "g").where(F.col("n") >= ENOUGH)
     longest = levels.groupBy("row").agg(F.max_by(F.col("e") / F.col("n"), "k").alias("p"))

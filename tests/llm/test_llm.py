@@ -199,3 +199,13 @@ def test_truncated(spark):
     assert {k: v for k, v in got.items() if k < 2000} == {1000: "palabra", 1002: "frase", 1003: "colgada", 1004: "palabra"}
     assert all(got.get(2000 + i) == "limite" for i in range(40))
     assert truncation.truncated(t.limit(0)).count() == 0
+
+
+def test_rare_stumps(spark):
+    """A stray stump elsewhere doesn't hide a cut word; rare whole words stay."""
+    docs = [(i, "notas", "no contesta el telefono. llamar a la tarde.") for i in range(150)]
+    docs += [(500, "notas", "dice que el tele no anda."), (501, "notas", "no contesta el tele"), (502, "notas", "dejar una nota."), (503, "notas", "toma nota y notar que falta."), (504, "notas", "llamar por la nota")]
+    docs += [(505, "notas", "vino con la tard y se fue. esta es la tard."), (506, "notas", "llamar por la tard"), (507, "notas", "un contes que no es."), (508, "notas", "no contes")]
+    t = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    for small in (1_000_000, 1):
+        assert {r["doc_id"]: r["motivo"] for r in truncation.truncated(t, max_broadcast=small).collect()} == {501: "palabra", 508: "palabra"}
