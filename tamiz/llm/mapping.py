@@ -121,11 +121,15 @@ class Matcher:
     def _bigrams(s: str) -> set[str]:
         return {s[k : k + 2] for k in range(len(s) - 1)}
 
-    def tokens(self, value: str) -> tuple[list[str], set[str]]:
-        """Words of the value that may name an entry, and those of them written as abbreviations."""
+    @staticmethod
+    def parts(value: str) -> list[str]:
+        """The folded value at its separators, then what stands in brackets."""
         t = fold(restore(value, []) or value)
-        t = re.sub(r"\([^)]*\)?", " ", t)
-        t = re.split(r",|\s-\s|;|\s/\s", t)[0]
+        texts = [re.sub(r"\([^)]*\)?", " ", t), *re.findall(r"\(([^)]*)\)?", t)]
+        return [x for text in texts for x in re.split(r",|(?:\A|\s)-\s|;|\s/\s", text)]
+
+    def tokens(self, t: str) -> tuple[list[str], set[str]]:
+        """Words of a part of a value that may name an entry, and those of them written as abbreviations."""
         short = {m.group(1) for m in re.finditer(r"([a-z]+)\.", t)}
         words = [ABBREVIATIONS.get(w, w) if w in ABBREVIATIONS and ABBREVIATIONS[w] in self.kinds else w for w in _FOLD_SEPARATORS.sub(" ", t).split()]
         words = [w for w in words if not w.isdigit() and w != "?"]
@@ -191,14 +195,18 @@ class Matcher:
         # Read with the wrong encoding: one that leads to a whole mention is taken.
         for c in chains():
             t = undo(value, c)
-            if t is not None and t != value and (words := self.tokens(t)[0]):
+            if t is not None and t != value and (words := self.tokens(self.parts(t)[0])[0]):
                 found = self.mentions(words)
                 if found and found[0][0] == len(" ".join(words)):
                     return found[0][1]
         return 0
 
     def _text(self, value: str) -> int:
-        words, short = self.tokens(value)
+        # The first part that means an entry: what stands before the first separator, the rest, the brackets.
+        return next((hit for t in self.parts(value) if (hit := self._part(t))), 0)
+
+    def _part(self, part: str) -> int:
+        words, short = self.tokens(part)
         if len(words) == 1:
             # Noise run together with the name.
             stuck = next((n for n in sorted(NOISE, key=len, reverse=True) if len(n) > 3 and words[0].startswith(n) and len(words[0]) > len(n) + 3), "")

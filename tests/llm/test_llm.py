@@ -113,6 +113,13 @@ def test_places(typed, want):
     assert mapping.Matcher(PLACES).match(typed) == want
 
 
+@pytest.mark.parametrize("typed,want", [
+    ("Provincia X, Villa Elisa", 10), ("- Villa Elisa", 10), ("(Villa Elisa)", 10), ("xxx (yyy; Orlnudo)", 6), ("xxx / yyy / Gral. Soler", 9), ("xxx - Orlundo", 6), ("Villa Elisa, Orlundo", 10), ("Orlundo (Villa Elisa)", 6), ("xxx, yyy", 0), ("(", 0), (", -", 0),
+])
+def test_later_parts(typed, want):
+    assert mapping.Matcher(PLACES).match(typed) == want
+
+
 def test_map_values(spark):
     cells = spark.createDataFrame([(1, "Orlnudo", "a"), (1, "Orlnudo", "a"), (2, None, "b"), (3, "Orlundo", "c")], "lead_id long, valor string, nombre string")
     entries = spark.createDataFrame([(6, "Orlundo"), (2, "Orlundo"), (9, None), (8, " ")], "ref_id long, nombre string")
