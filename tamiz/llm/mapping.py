@@ -109,7 +109,11 @@ class Matcher:
             self.automaton.make_automaton()
         self.own_words = {w for _, t in self.names for w in t}
         self.grams: dict[str, set[int]] = defaultdict(set)
+        #: Length by sound and by spelling of each name without blanks; names by these.
+        self.sizes = [(len("".join(map(sound, t))), len("".join(t))) for _, t in self.names]
+        self.by_size: dict[tuple[int, int], list[int]] = defaultdict(list)
         for k, (_, t) in enumerate(self.names):
+            self.by_size[self.sizes[k]].append(k)
             for g in self._bigrams("".join(map(sound, t))):
                 self.grams[g].add(k)
         self.cache: dict[str, int] = {}
@@ -128,6 +132,18 @@ class Matcher:
         texts = [re.sub(r"\([^)]*\)?", " ", t), *re.findall(r"\(([^)]*)\)?", t)]
         return [x for text in texts for x in re.split(r",|(?:\A|\s)-\s|;|\s/\s", text)]
 
+    @staticmethod
+    def _least_shared(sounds: int, letters: int, name_sounds: int, name_letters: int) -> float:
+        """Bigrams that a value shares at least with a name as alike as LEAST, from the lengths of both; 0 or less: maybe none.
+
+        Of names of about the same length so many edits are forgiven, and each, as a swap, may break three bigrams.
+        Names of another length are only alike by whole words, which leave a fifth of the shorter side.
+        """
+        short = min(sounds, name_sounds)
+        edits = int((1 - LEAST) * max(letters, name_letters))
+        bound = 0.2 * short
+        return min(bound, short - 1 - 3 * edits) if abs(letters - name_letters) <= edits else bound
+
     def tokens(self, t: str) -> tuple[list[str], set[str]]:
         """Words of a part of a value that may name an entry, and those of them written as abbreviations."""
         short = {m.group(1) for m in re.finditer(r"([a-z]+)\.", t)}
@@ -220,8 +236,9 @@ class Matcher:
             return found[0][1]
         s = "".join(map(sound, words))
         shared = Counter(k for g in self._bigrams(s) for k in self.grams.get(g, ()))
-        # Any entry alike enough shares at least this part of the bigrams of the shorter of both.
-        need = {k for k, n in shared.items() if n >= 0.2 * min(len(s), len("".join(map(sound, self.names[k][1]))))}
+        least = {z: self._least_shared(len(s), len("".join(words)), *z) for z in self.by_size}
+        need = {k for k, n in shared.items() if n >= least[self.sizes[k]]}
+        need.update(k for z, n in least.items() if n <= 0 for k in self.by_size[z])
         scored = sorted(((self.similarity(words, short, self.names[k][1]), -self.names[k][0]) for k in need), reverse=True)
         best = scored[0] if scored else (0.0, 0)
         rest = next((x[0] for x in scored[1:]), 0.0)
