@@ -42,7 +42,7 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = RUN_WORDS, k: int = SHIN
     """`doc_id, item_id`: documents of `docs(doc_id, text)` with at least `run` consecutive words of an item of `items(item_id, text)`.
 
     Pairs are distinct. Items and documents shorter than `run` words, null and empty texts give nothing; whole texts are
-    read; equal texts each get their rows. The documents' words never shuffle while the items' side is broadcast:
+    read; equal texts each get their rows; null ids stay, as one document or item each. The documents' words never shuffle while the items' side is broadcast:
     its rows are counted first, and beyond `max_broadcast` it is joined by shuffle on the shingle instead.
     """
     if not 0 < k <= run:
@@ -68,7 +68,8 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = RUN_WORDS, k: int = SHIN
         hits = rows.join(F.broadcast(prefix), "h")
     else:
         near = rows.select("doc_id", "pos", "h").join(prefix, "h").where("pos >= off")
-        hits = near.join(docs.select("doc_id", words(F.col("text")).alias("w")), "doc_id")
+        texts = docs.select(F.col("doc_id").alias("__d"), words(F.col("text")).alias("w"))
+        hits = near.join(texts, F.col("doc_id").eqNullSafe(F.col("__d"))).drop("__d")
     start = F.col("pos") - F.col("off")
     inside = (start >= 0) & (start + run <= F.size("w"))
     found = hits.where(inside).where(F.slice("w", start + 1, run) == F.col("win")).select("doc_id", "wid", "win").distinct()

@@ -204,6 +204,14 @@ def test_leaks_brute(spark, small):
     assert {tuple(r) for r in got} == want and len(got) == len(want) and want
 
 
+@pytest.mark.parametrize("small", [200_000, 1])
+def test_leaks_null_ids(spark, small):
+    docs = [(None, "x uno dos tres cuatro y"), (None, "nada de eso"), (1, "uno dos tres cuatro"), (2, "uno dos")]
+    items = [(7, "uno dos tres cuatro"), (None, "dos tres cuatro y")]
+    got = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), run=4, k=2, max_broadcast=small).collect()
+    assert sorted(map(str, map(tuple, got))) == ["(1, 7)", "(None, 7)", "(None, None)"]
+
+
 def test_truncated(spark):
     rnd = random.Random(2)
     ends = ["llamar a la tarde", "pide el contrato por escrito", "quiere hablar con la encargada", "no contesta el telefono"]
