@@ -2,7 +2,7 @@
 
 A document holds a run of `size` consecutive words of an item exactly if it holds all shingles of that run, so the rarest
 one is a necessary prefix. Shingles are ordered by their frequency over all documents, windows join by their
-rarest shingle, positions bound the place, and the words of the item-sized window are compared.
+rarest shingle, positions and lengths bound the place, and the words of the item-sized window are compared.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tamiz.functions.text import strip_marks
+from tamiz.llm import words as W
 from tamiz.session import cut
 
 #: Consecutive words that make a leak; words in a shingle.
@@ -27,54 +28,65 @@ def words(text: Column) -> Column:
     return F.filter(F.split(flat, " "), lambda w: w != "")
 
 
-def _shingles(w: Column, k: int, at_least: int) -> Column:
-    """array<struct<pos, h>> of all k-word shingles, empty for texts shorter than `at_least` words."""
-    places = F.when(F.size(w) >= at_least, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(w, i + 1, k)).alias("h")))
+def shingles(rows: DataFrame, key: str, text: str, run: int, k: int, asked=None) -> DataFrame:
+    """`key, pos, h, n`: place and hash of every k-word shingle of texts with at least `run` words, and the text's words.
 
+    With `asked`, a broadcast bit filter, only shingles that may be among the asked come out. One pass over the texts.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def read(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in W.slices(batch, text):
+                w = W.split_words(W.lowered(part.column(text)))
+                h = W.runs(w.code, k)
+                row = np.repeat(np.arange(len(w.size)), w.size)[: len(h)]
+                pos = np.arange(len(h)) - w.start[row]
+                keep = (pos + k <= w.size[row]) & (w.size[row] >= run)
+                if asked is not None:
+                    keep &= W.passes(asked.value, h)
+                row = row[keep]
+                columns = [part.column(key).take(pa.array(row)), pa.array(pos[keep].astype(np.int32)), pa.array(h[keep].view(np.int64)), pa.array(w.size[row].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, [key, "pos", "h", "n"])
 
-def _docs(docs: DataFrame, run: int, k: int) -> DataFrame:
-    tokens = docs.select("doc_id", words(F.col("text")).alias("w"))
-    return tokens.select("doc_id", "w", F.inline(_shingles(F.col("w"), k, run)))
+    return rows.select(key, text).mapInArrow(read, f"`{key}` {kind}, pos int, h bigint, n int")
 
 
 def leaks(docs: DataFrame, items: DataFrame, run: int = RUN_WORDS, k: int = SHINGLE_WORDS, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """`doc_id, item_id`: documents of `docs(doc_id, text)` with at least `run` consecutive words of an item of `items(item_id, text)`.
 
     Pairs are distinct. Items and documents shorter than `run` words, null and empty texts give nothing; whole texts are
-    read; equal texts each get their rows; null ids stay, as one document or item each. The documents' words never shuffle while the items' side is broadcast:
-    its rows are counted first, and beyond `max_broadcast` it is joined by shuffle on the shingle instead.
+    read; equal texts each get their rows; null ids stay, as one document or item each. The corpus is shingled once, keeping
+    only shingles that items have, and only documents with a complete prefix match are read again. The items' side
+    is counted: up to `max_broadcast` rows it is broadcast, beyond that the same joins shuffle on the shingle.
     """
     if not 0 < k <= run:
         raise ValueError("0 < k <= run")
     w = items.select("item_id", words(F.col("text")).alias("w"))
     starts = F.when(F.size("w") >= run, F.sequence(F.lit(0), F.size("w") - run)).otherwise(F.array().cast("array<int>"))
-    windows = w.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i + 1, run))).alias("win"))
-    windows = windows.select("item_id", "win", F.xxhash64("win").alias("wid")).distinct()
-    windows = cut(windows)
-    cand = windows.select("wid", "win").distinct().select("wid", "win", F.inline(_shingles(F.col("win"), k, run)))
-    cand = cut(cand.withColumnRenamed("pos", "off"))
+    windows = cut(w.select("item_id", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, run), " "))).alias("win")).distinct())
+    cand = cut(shingles(windows.select("win", F.col("win").alias("text")).distinct(), "win", "text", run, k).select("win", F.col("pos").alias("off"), "h"))
+    known = cut(cand.select("h").distinct())
     small = cand.limit(max_broadcast + 1).count() <= max_broadcast
     side = F.broadcast if small else (lambda x: x)
 
-    rows = _docs(docs, run, k)
-    known = cand.select("h").distinct()
-    rarity = cut(rows.select("h").join(side(known), "h").groupBy("h").agg(F.count(F.lit(1)).alias("df")))
+    hits = cut(shingles(docs, "doc_id", "text", run, k, W.bit_filter(known, "h")).join(side(known), "h"))
+    rarity = cut(hits.groupBy("h").agg(F.count(F.lit(1)).alias("df")))
     # A window with a shingle that no document has can't occur; of the others the rarest shingle is its prefix.
-    order = Window.partitionBy("wid", "win").orderBy("df", "h", "off")
+    order = Window.partitionBy("win").orderBy("df", "h", "off")
     ranked = cand.join(side(rarity), "h", "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("__r", F.row_number().over(order))
-    prefix = cut(ranked.where("__r = 1 and df > 0").select("h", "off", "wid", "win"))
-    if small:
-        hits = rows.join(F.broadcast(prefix), "h")
-    else:
-        near = rows.select("doc_id", "pos", "h").join(prefix, "h").where("pos >= off")
-        texts = docs.select(F.col("doc_id").alias("__d"), words(F.col("text")).alias("w"))
-        hits = near.join(texts, F.col("doc_id").eqNullSafe(F.col("__d"))).drop("__d")
-    start = F.col("pos") - F.col("off")
-    inside = (start >= 0) & (start + run <= F.size("w"))
-    found = hits.where(inside).where(F.slice("w", start + 1, run) == F.col("win")).select("doc_id", "wid", "win").distinct()
-    pairs = windows.select("item_id", "wid", "win")
-    return found.join(side(pairs), ["wid", "win"]).select("doc_id", "item_id").distinct()
+    prefix = ranked.groupBy("win").agg(F.min("df").alias("least"), F.min(F.when(F.col("__r") == 1, F.struct("h", "off"))).alias("p"))
+    prefix = cut(prefix.where("least > 0").select("win", "p.*"))
+    near = hits.join(side(prefix), "h").where(f"pos >= off and pos - off + {run} <= n").select("doc_id", "win").distinct()
+    near = cut(near)
+    few = F.broadcast if near.limit(max_broadcast + 1).count() <= max_broadcast else (lambda x: x)
+    same = F.col("__d").eqNullSafe(F.col("doc_id"))
+    asked = docs.join(few(near.select(F.col("doc_id").alias("__d")).distinct()), same, "left_semi").select("doc_id", F.concat(F.lit(" "), F.array_join(words(F.col("text")), " "), F.lit(" ")).alias("t"))
+    found = asked.join(few(near.withColumnRenamed("doc_id", "__d")), same).where(F.contains("t", F.concat(F.lit(" "), "win", F.lit(" ")))).select("doc_id", "win").distinct()
+    return found.join(side(windows), "win").select("doc_id", "item_id").distinct()
 
 
 def found(spark, sf_dir: str) -> DataFrame:
