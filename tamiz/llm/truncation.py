@@ -7,69 +7,152 @@ their source's lengths, where a field limit shows as a spike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tamiz.functions.text import strip_marks
-from tamiz.session import cut
+from tamiz.llm import words as W
+from tamiz.session import cut, small_side
 
 #: Longest run of last words that is looked up, least count that says something, most share of sentence ends in a cut.
 CONTEXT, ENOUGH, RARE_END = 5, 20, 0.02
 #: A last token seen fewer than ENOUGH times is a stump if the words that go on with it are together so many times as frequent.
 STUMP_TIMES = 100
-#: A field limit: at least so many texts, so many times the lengths around it, this share of the source's open texts.
-LIMIT_TEXTS, LIMIT_TIMES, LIMIT_SHARE, LIMIT_AROUND = 5, 8, 0.02, 10
+#: A field limit: so unlikely (natural logarithm) by the lengths around it, so many times as frequent as these, this share of the source's open texts.
+LIMIT_NATS, LIMIT_TIMES, LIMIT_SHARE, LIMIT_AROUND = 10.0, 8, 0.02, 10
 #: The looked-up side is broadcast up to this many rows (about 20 bytes each), else joined by shuffle.
 MAX_BROADCAST_ROWS = 1_000_000
 
-_TAIL = r"(?:\s|\.{2,}|…|[\u200B-\u200F\u2060\uFEFF])+\z"
-_DOTS = r"(?:\.{2,}|…)+\z"
-_CLOSED = r"[.?!][»”\"')\]]*\z"
+#: White space, runs of dots and invisible marks at the end of a text, read backwards; runs of dots alone.
+_TAIL = re.compile("(?:[ \\t\\n\\x0b\\f\\r]|\\.{2,}|…|[\u200B-\u200F\u2060\uFEFF])+")
+_DOTS = re.compile("(?:\\.{2,}|…)+")
+_CLOSE, _STOPS = "»”\"')]", ".?!"
 _DANGLING = r"(?:[,;:(\[¿¡]|\uFFFD)\z"
 #: A short note or sign set behind a finished sentence.
 _NOTE = r"[.?!] +(?:[^a-zA-Z0-9À-ɏ\s¿¡][^\n]{0,24}|(?=[^\n]{1,24}\z)[^\n]*[\p{S}\p{No}][^\n]*)\z"
 
 
-def _tokens(text: Column) -> Column:
-    """Folded words, numbers as 0, sentence borders as |."""
-    t = F.regexp_replace(F.lower(strip_marks(text)), r"[.?!]+(?=[\s»”\"')\]]|\z)|\n+", " | ")
-    t = F.regexp_replace(F.regexp_replace(t, "[^a-z0-9| ]+", " "), r"(?<![a-z0-9])[0-9]+(?![a-z0-9])", "0")
-    # Single blanks stay as they are: replacing each would cost more than all the rest.
-    return F.filter(F.split(t, " "), lambda w: w != "")
-
-
-def prepared(docs: DataFrame) -> DataFrame:
-    """`doc_id, source, bare, chars, bytes, open, a`: text without trailing marks, its size without trailing dots (a cut
-    may fall behind a blank), whether it lacks a closing stop, its tokens."""
-    bare = F.regexp_replace(F.col("text"), _TAIL, "")
-    kept = F.regexp_replace(F.col("text"), _DOTS, "")
-    sizes = (F.length(kept).alias("chars"), F.octet_length(kept).alias("bytes"))
-    rows = docs.where("text is not null").select("doc_id", "source", bare.alias("bare"), *sizes).where("bare <> ''")
-    return rows.select("*", (~F.col("bare").rlike(_CLOSED)).alias("open"), _tokens(F.col("bare")).alias("a"))
-
+def _ending(text: str) -> tuple[str, str, bool]:
+    """(text without its tail, text without trailing dots, whether it lacks a closing stop)."""
+    back = text[::-1]
+    tail, dots = _TAIL.match(back), _DOTS.match(back)
+    bare, kept = (text[: len(text) - m.end()] if m else text for m in (tail, dots))
+    return bare, kept, not bare.rstrip(_CLOSE).endswith(tuple(_STOPS))
 
-def _gram(a: Column, end: Column, k: int) -> Column:
-    """Hash of the k tokens that end at place `end` (from 0), null across a border or the beginning.
 
-    Single array reads, not slices: they stay inside generated code.
+def _tokens(texts) -> W.Words:
+    """Folded words, numbers as 0, sentence borders as |."""
+    import pyarrow.compute as pc
+
+    t = pc.replace_substring_regex(W.lowered(texts), r"[.?!]+([\s\x0b»”\"')\]]|\z)", r" | \1")
+    return W.split_words(pc.replace_substring_regex(t, r"\n+", " | "), "[^a-z0-9|]+", number="0")
+
+
+def _grams(w: W.Words):
+    """For k = 1 to CONTEXT: (hash of the k tokens that end at each place, whether they lie within one sentence of one text);
+    beside them which tokens are borders."""
+    import numpy as np
+
+    n = len(w.code)
+    at = np.arange(n)
+    border = np.array([x == "|" for x in w.vocabulary], bool)[w.index] if n else np.zeros(0, bool)
+    last = np.where(border, at, -1)
+    first = w.start[w.size > 0]
+    last[first] = np.maximum(last[first], first - 1)
+    inside = at - np.maximum.accumulate(last)
+    out, h = [], np.zeros(n, np.uint64)
+    for k in range(1, CONTEXT + 1):
+        h = h.copy()
+        h[k - 1 :] += w.code[: n - k + 1] * np.uint64(W.power(k - 1))
+        out.append((W.mixed(h, k), inside >= k))
+    return out, border
+
+
+def open_texts(docs: DataFrame) -> DataFrame:
+    """`doc_id, source, bare, chars, bytes, last, grams` of the texts without a closing stop: the text without trailing
+    marks, its size without trailing dots (a cut may fall behind a blank), its last token, hashes of its last 1 to CONTEXT tokens."""
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")}
+
+    def read(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                ends = [(i, *_ending(t)) for i, t in enumerate(part.column("text").to_pylist()) if t]
+                ends = [(i, bare, kept) for i, bare, kept, is_open in ends if bare and is_open]
+                rows = pa.array([i for i, *_ in ends], pa.int64())
+                bare = pa.array([b for _, b, _ in ends], pa.string())
+                w = _tokens(bare)
+                grams, border = _grams(w)
+                at = w.start + w.size - 1
+                some = (w.size > 0) & ~border[at] if len(border) else np.zeros(len(ends), bool)
+                last = [w.vocabulary[w.index[i]] if ok else None for i, ok in zip(at, some)]
+                lists = [[int(h[i].view(np.int64)) if ok and whole[i] else None for h, whole in grams] for i, ok in zip(at, some)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part.column(c).take(rows) for c in kinds], bare, pa.array([len(k) for *_, k in ends], pa.int32()), pa.array([len(k.encode("utf-8", "surrogatepass")) for *_, k in ends], pa.int32()),
+                        pa.array(last, pa.string()), pa.array(lists, pa.list_(pa.int64())),
+                    ],
+                    [*kinds, "bare", "chars", "bytes", "last", "grams"],
+                )
+
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", bare string, chars int, bytes int, last string, grams array<bigint>"
+    return docs.select("doc_id", "source", "text").mapInArrow(read, schema)
+
+
+def corpus_counts(docs: DataFrame, asked) -> DataFrame:
+    """`g, w, n, e`: in one pass over all texts, how often each gram that may be among the asked (a broadcast bit filter)
+    occurs and ends a sentence (`w` null), and how often each word occurs (`g` null), combined per slice of a batch.
+
+    The last token of an open text is in question itself and not counted.
     """
-    run = [F.get(a, end - j) for j in range(k)]
-    whole = run[0] != "|"
-    for t in run[1:]:
-        whole = whole & (t != "|")
-    return F.when(whole, F.xxhash64(F.lit(k), *run))
+
+    def read(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names = ["g", "w", "n", "e"]
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                ends = [_ending(t or "") for t in part.column("text").to_pylist()]
+                w = _tokens(pa.array([bare for bare, _, _ in ends], pa.string()))
+                grams, border = _grams(w)
+                n = len(w.code)
+                stop = np.ones(n, bool)
+                stop[: n - 1] = border[1:]
+                stop[(w.start + w.size - 1)[w.size > 0]] = True
+                counted = ~border
+                counted[(w.start + w.size - 1)[(w.size > 0) & np.array([o for *_, o in ends], bool)]] = False
+                for h, whole in grams:
+                    keep = counted & whole
+                    keep[keep] = W.passes(asked.value, h[keep])
+                    g, place = np.unique(h[keep], return_inverse=True)
+                    e = np.bincount(place, stop[keep], len(g)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.nulls(len(g), pa.string()), pa.array(np.bincount(place, minlength=len(g)).astype(np.int64)), pa.array(e)], names)
+                m = np.bincount(w.index[counted], minlength=len(w.vocabulary)).astype(np.int64)
+                seen = pa.array(w.vocabulary, pa.string()).filter(pa.array(m > 0))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(seen), pa.int64()), seen, pa.array(m[m > 0]), pa.nulls(len(seen), pa.int64())], names)
+
+    return docs.select("text").mapInArrow(read, "g bigint, w string, n bigint, e bigint")
 
 
 def field_limits(open_docs: DataFrame) -> DataFrame:
-    """`source, medida, largo`: lengths, in characters (c) and UTF-8 bytes (b), at which a source cuts."""
+    """`source, medida, largo`: lengths, in characters (c) and UTF-8 bytes (b), at which a source cuts.
+
+    A length is a limit if so many texts of just this length are that unlikely beside the lengths around it: the
+    log-likelihood of the Poisson surplus is at least LIMIT_NATS, and they are LIMIT_SHARE of the source's open texts.
+    """
     sizes = F.array(F.struct(F.lit("c").alias("medida"), F.col("chars").alias("largo")), F.struct(F.lit("b").alias("medida"), F.col("bytes").alias("largo")))
     counts = open_docs.select("source", F.inline(sizes)).groupBy("source", "medida", "largo").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("source", "medida")
     near = F.sum("n").over(by.orderBy("largo").rangeBetween(-LIMIT_AROUND, LIMIT_AROUND)) - F.col("n")
-    seen = counts.withColumn("near", near).withColumn("total", F.sum("n").over(by))
-    spike = (F.col("n") >= LIMIT_TEXTS) & (F.col("n") > LIMIT_TIMES * (F.col("near") / (2 * LIMIT_AROUND) + 0.25)) & (F.col("n") >= LIMIT_SHARE * F.col("total"))
-    return seen.where(spike).select("source", "medida", "largo")
+    usual = F.col("near") / (2 * LIMIT_AROUND) + 0.25
+    seen = counts.withColumn("near", near).withColumn("total", F.sum("n").over(by)).withColumn("usual", usual)
+    surplus = F.col("n") * F.log(F.col("n") / F.col("usual")) - (F.col("n") - F.col("usual"))
+    return seen.where((F.col("n") > LIMIT_TIMES * F.col("usual")) & (surplus >= LIMIT_NATS) & (F.col("n") >= LIMIT_SHARE * F.col("total"))).select("source", "medida", "largo")
 
 
 def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -80,43 +163,32 @@ def truncated(docs: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS) -> DataF
     either no word itself, or a rare one that never ends a sentence beside words that are far more frequent), `frase` (its last words, as many as are known often enough, hardly ever end a sentence). Trailing dots and white
     space don't count, nor a short note behind a finished sentence. Null, empty and blank texts and texts with a
     closing stop are never cut. Counts are of all documents; repeated rows keep their own rows; a null source is its own source.
+    Two passes over the texts: the ends of the open ones, then the counts of their last words in all.
     """
-    rows = prepared(docs)
-    closing = F.size("a") - 1
-    last = F.element_at("a", -1)
-    ends = F.array(*[_gram(F.col("a"), closing, k) for k in range(1, CONTEXT + 1)])
-    asked = rows.where("open").select(
-        "doc_id", "source", "chars", "bytes",
-        F.when((F.size("a") > 0) & (last != "|"), last).alias("last"), ends.alias("grams"), F.col("bare").rlike(_NOTE).alias("note"), F.col("bare").rlike(_DANGLING).alias("dangling"),
-    )
+    asked = open_texts(docs).withColumns({"note": F.col("bare").rlike(_NOTE), "dangling": F.col("bare").rlike(_DANGLING)}).drop("bare")
     asked = cut(asked.withColumn("row", F.monotonically_increasing_id()))
-    limits = field_limits(asked)
-    hit = limits.withColumn("__l", F.lit(True))
-    at = lambda m, c: hit.where(F.col("medida") == m).select(F.col("source").alias("__s"), F.col("largo").alias("__n"), F.col("__l").alias(c))
+    limits = cut(field_limits(asked))
+    at = lambda m, c: small_side(limits.where(F.col("medida") == m).select(F.col("source").alias("__s"), F.col("largo").alias("__n"), F.lit(True).alias(c)), max_broadcast)
     base = asked.select("row", "source", "chars", "bytes")
-    near = base.join(F.broadcast(at("c", "lc")), F.col("source").eqNullSafe(F.col("__s")) & (F.col("chars") == F.col("__n")), "left").drop("__s", "__n")
-    near = near.join(F.broadcast(at("b", "lb")), F.col("source").eqNullSafe(F.col("__s")) & (F.col("bytes") == F.col("__n")), "left")
+    near = base.join(at("c", "lc"), F.col("source").eqNullSafe(F.col("__s")) & (F.col("chars") == F.col("__n")), "left").drop("__s", "__n")
+    near = near.join(at("b", "lb"), F.col("source").eqNullSafe(F.col("__s")) & (F.col("bytes") == F.col("__n")), "left")
     near = near.select("row", F.coalesce("lc", "lb", F.lit(False)).alias("limit"))
 
     # How often the last words occur, and end a sentence, anywhere else in the corpus.
     wanted = cut(asked.select(F.explode("grams").alias("g")).where("g is not null").distinct())
-    small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
-    side = F.broadcast if small else (lambda x: x)
-    # The last token of an open text is in question itself and not counted.
-    places = F.when(F.size("a") > F.when(F.col("open"), 1).otherwise(0), F.sequence(F.lit(0), closing - F.when(F.col("open"), 1).otherwise(0))).otherwise(F.array().cast("array<int>"))
-    words = rows.select("a", F.explode(places).alias("i")).where(F.get("a", F.col("i")) != "|")
-    is_end = F.coalesce(F.get("a", F.col("i") + 1) == "|", F.lit(True))
-    grams = words.select(is_end.alias("e"), F.explode(F.array(*[_gram(F.col("a"), F.col("i"), k) for k in range(1, CONTEXT + 1)])).alias("g"))
-    counts = cut(grams.join(side(wanted), "g").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("e").cast("bigint")).alias("e")))
-
-    # The vocabulary as a trie: every proper prefix of a distinct word is a node, with the counts of the words below it.
-    # Only last tokens that are unknown, or rare and never at a sentence's end, are walked.
+    side = F.broadcast if wanted.limit(max_broadcast + 1).count() <= max_broadcast else (lambda x: x)
+    seen = corpus_counts(docs, W.bit_filter(wanted, "g"))
+    seen = cut(seen.groupBy("g", "w").agg(F.sum("n").alias("n"), F.sum("e").alias("e")))
+    counts = cut(seen.where("g is not null").join(side(wanted), "g").select("g", "n", "e"))
+
+    # The vocabulary as a trie: a proper prefix of a distinct word is a node, with the counts of the words below it.
+    # Only last tokens that are unknown, or rare and never at a sentence's end, are walked, at the depths such tokens have.
     unknown = asked.select("last", F.get("grams", F.lit(0)).alias("g")).where("last is not null and last <> '0'").distinct()
-    unknown = unknown.join(counts, "g", "left").na.fill(0, ["n", "e"]).where((F.col("n") < ENOUGH) & (F.col("e") == 0))
+    unknown = unknown.join(side(counts), "g", "left").na.fill(0, ["n", "e"]).where((F.col("n") < ENOUGH) & (F.col("e") == 0))
     unknown = cut(unknown.select("last", F.col("n").alias("own")))
-    vocabulary = words.groupBy(F.get("a", F.col("i")).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    nodes = vocabulary.where("length(w) > 1").select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.col("w").substr(F.lit(1), k))).alias("last"))
-    below = nodes.join(side(unknown), "last").groupBy("last", "own").agg(F.sum("n").alias("n"))
+    depths = [r[0] for r in unknown.select(F.length("last")).distinct().collect()]
+    below = seen.where("w is not null").select("n", F.explode(F.array(*[F.when(F.length("w") > d, F.substring("w", 1, d)) for d in depths]) if depths else F.array().cast("array<string>")).alias("last"))
+    below = below.where("last is not null").join(side(unknown), "last").groupBy("last", "own").agg(F.sum("n").alias("n"))
     stems = below.where(F.col("n") >= STUMP_TIMES * F.col("own")).select("last", F.lit(True).alias("stem"))
 
     levels = asked.select("row", F.posexplode("grams").alias("k", "g")).where("g is not null").join(side(counts), "g").where(F.col("n") >= ENOUGH)
