@@ -68,7 +68,9 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = RUN_WORDS, k: int = SHIN
     w = items.select("item_id", words(F.col("text")).alias("w"))
     starts = F.when(F.size("w") >= run, F.sequence(F.lit(0), F.size("w") - run)).otherwise(F.array().cast("array<int>"))
     windows = cut(w.select("item_id", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, run), " "))).alias("win")).distinct())
-    cand = cut(shingles(windows.select("win", F.col("win").alias("text")).distinct(), "win", "text", run, k).select("win", F.col("pos").alias("off"), "h"))
+    # Windows go by number from here on; their words come back for the comparison only.
+    numbered = cut(windows.select("win").distinct().withColumn("wid", F.monotonically_increasing_id()))
+    cand = cut(shingles(numbered, "wid", "win", run, k).select("wid", F.col("pos").alias("off"), "h"))
     known = cut(cand.select("h").distinct())
     small = cand.limit(max_broadcast + 1).count() <= max_broadcast
     side = F.broadcast if small else (lambda x: x)
@@ -76,16 +78,16 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = RUN_WORDS, k: int = SHIN
     hits = cut(shingles(docs, "doc_id", "text", run, k, W.bit_filter(known, "h")).join(side(known), "h"))
     rarity = cut(hits.groupBy("h").agg(F.count(F.lit(1)).alias("df")))
     # A window with a shingle that no document has can't occur; of the others the rarest shingle is its prefix.
-    order = Window.partitionBy("win").orderBy("df", "h", "off")
+    order = Window.partitionBy("wid").orderBy("df", "h", "off")
     ranked = cand.join(side(rarity), "h", "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("__r", F.row_number().over(order))
-    prefix = ranked.groupBy("win").agg(F.min("df").alias("least"), F.min(F.when(F.col("__r") == 1, F.struct("h", "off"))).alias("p"))
-    prefix = cut(prefix.where("least > 0").select("win", "p.*"))
-    near = hits.join(side(prefix), "h").where(f"pos >= off and pos - off + {run} <= n").select("doc_id", "win").distinct()
+    prefix = ranked.groupBy("wid").agg(F.min("df").alias("least"), F.min(F.when(F.col("__r") == 1, F.struct("h", "off"))).alias("p"))
+    prefix = cut(prefix.where("least > 0").select("wid", "p.*"))
+    near = hits.join(side(prefix), "h").where(f"pos >= off and pos - off + {run} <= n").select("doc_id", "wid").distinct()
     near = cut(near)
     few = F.broadcast if near.limit(max_broadcast + 1).count() <= max_broadcast else (lambda x: x)
     same = F.col("__d").eqNullSafe(F.col("doc_id"))
     asked = docs.join(few(near.select(F.col("doc_id").alias("__d")).distinct()), same, "left_semi").select("doc_id", F.concat(F.lit(" "), F.array_join(words(F.col("text")), " "), F.lit(" ")).alias("t"))
-    found = asked.join(few(near.withColumnRenamed("doc_id", "__d")), same).where(F.contains("t", F.concat(F.lit(" "), "win", F.lit(" ")))).select("doc_id", "win").distinct()
+    found = asked.join(few(near.withColumnRenamed("doc_id", "__d").join(side(numbered), "wid")), same).where(F.contains("t", F.concat(F.lit(" "), "win", F.lit(" ")))).select("doc_id", "win").distinct()
     return found.join(side(windows), "win").select("doc_id", "item_id").distinct()
 
 
