@@ -17,10 +17,18 @@ def skewed_lookup(big: DataFrame, table: DataFrame, key: str, how: str = "inner"
     Keys with more than max(HOT_ROWS, rows / HOT_SHARE) rows are at most HOT_SHARE in number, so their entries
     of `table` are broadcast and their rows stay where they are; all other keys shuffle, none of them heavy.
     `weight` names a column of `table` that already holds the rows per key; `rows` is a known upper bound of the rows
-    of `big`, which spares counting them. A null key matches nothing.
+    of `big`, which spares counting them. A null key matches nothing; a left lookup keeps such rows where
+    they are instead of shuffling them all into one partition.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
+    if how == "left" and big.schema[key].nullable:
+        known = _lookup(big.where(F.col(key).isNotNull()), table, key, how, weight, rows)
+        return known.unionByName(big.where(F.col(key).isNull()), allowMissingColumns=True)
+    return _lookup(big, table, key, how, weight, rows)
+
+
+def _lookup(big: DataFrame, table: DataFrame, key: str, how: str, weight: str | None, rows: int | None) -> DataFrame:
     if rows is not None and rows <= HOT_ROWS:
         return big.join(table, key, how)
     if weight is None:
