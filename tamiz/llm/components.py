@@ -43,13 +43,14 @@ def _compress(e: DataFrame, around: DataFrame) -> tuple[DataFrame, DataFrame, in
 
     Every such vertex has two ports; a port points to the port on the far side of its neighbour, or has arrived if
     the neighbour ends the chain. Pointer doubling takes as many rounds as the length has binary digits. Ports that never
-    arrive lie on closed rings and stay for the core. Each port is pointed to at most once, so no join is skewed.
+    arrive lie on closed rings and stay for the core. In the doubling each port is pointed to at most once; in the first step
+    a hub may be the neighbour of any number of chain ends, so that lookup is the skew-safe one.
     """
     two = around.where("deg = 2").select("x", "a", "b")
     ports = two.select("x", F.inline(F.array(F.struct(F.col("a").alias("d"), F.col("a").alias("to")), F.struct(F.col("b").alias("d"), F.col("b").alias("to")))))
     inner = two.select(F.col("x").alias("to"), "a", "b")
     # A port is (x, d): from x towards neighbour d. Beyond a chain vertex it goes on towards that vertex's other neighbour.
-    ports = ports.join(inner, "to", "left").select(
+    ports = skewed_lookup(ports, inner, "to", "left").select(
         "x", "d", "to", F.when(F.col("a").isNotNull(), F.when(F.col("a") == F.col("x"), F.col("b")).otherwise(F.col("a"))).alias("on")
     )
     ports = cut(ports)
