@@ -32,7 +32,8 @@ def winners(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
     One aggregate with partial combination: a component of any size costs one row per task.
     """
-    best = F.struct(text_or_empty(F.col("fecha_carga")).alias("f"), completeness().alias("c"), (-F.col("id_fila")).alias("i"), F.col("cuil_norm").alias("k"), F.col("telefono_match").alias("m"))
+    full = F.col("completos") if "completos" in rows.columns else completeness()
+    best = F.struct(text_or_empty(F.col("fecha_carga")).alias("f"), full.alias("c"), (-F.col("id_fila")).alias("i"), F.col("cuil_norm").alias("k"), F.col("telefono_match").alias("m"))
     g = comps.join(rows.select("id_fila", best.alias("b")), "id_fila").groupBy("comp").agg(F.max("b").alias("b"), F.count(F.lit(1)).alias("n"))
     return g.select("comp", (-F.col("b.i")).alias("ganador"), F.col("b.k").alias("w_cuil"), F.col("b.m").alias("w_match"), "n")
 
@@ -44,10 +45,12 @@ def mark_duplicates(rows: DataFrame, comps: DataFrame | None = None) -> DataFram
     without a partner stay as they are, no row is dropped, and only `telefono_tipo` of a winner changes. `duplicado_de`
     is null for rows that are no duplicate. An empty table gives an empty table.
     """
-    comps = duplicate_components(rows) if comps is None else comps
-    won = cut(winners(rows, comps))
+    # What the search needs of a row is written once; the keys' expressions aren't evaluated again for each of its steps.
+    thin = cut(rows.select("id_fila", *KEYS, "telefono_tipo", text_or_empty(F.col("fecha_carga")).alias("fecha_carga"), completeness().alias("completos")))
+    comps = duplicate_components(thin) if comps is None else comps
+    won = cut(winners(thin, comps))
     rank = F.create_map(*[F.lit(x) for kv in PRECEDENCE.items() for x in kv])
-    lines = comps.join(rows.select("id_fila", F.col("telefono_match").alias("w_match"), F.coalesce(F.try_element_at(rank, F.col("telefono_tipo")), F.lit(0)).alias("r")), "id_fila")
+    lines = comps.join(thin.select("id_fila", F.col("telefono_match").alias("w_match"), F.coalesce(F.try_element_at(rank, F.col("telefono_tipo")), F.lit(0)).alias("r")), "id_fila")
     lines = lines.where("w_match <> ''").groupBy("comp", "w_match").agg(F.max("r").alias("best"))
     won = won.join(lines, ["comp", "w_match"], "left")
     member = skewed_lookup(comps, won, "comp", weight="n").select("id_fila", "ganador", "w_cuil", "w_match", "best")

@@ -14,6 +14,7 @@ from tamiz.operators.order import with_position
 from tamiz.plans.config import FILLER_NAMES, FILLER_SEQUENCES, PlanConfig, Segment
 from tamiz.plans.derived import CUTOFF, leads, oracle_leads
 from tamiz.plans.pipeline import AUDIT, COMMERCIAL, build
+from tamiz.session import cut
 from tamiz.sources.sinks import csv_lines
 
 CONFIG = PlanConfig(cutoff=CUTOFF)
@@ -46,7 +47,7 @@ def components(spark, d) -> DataFrame:
 
 
 def winner(spark, d) -> DataFrame:
-    rows = keyed(spark, d)
+    rows = cut(keyed(spark, d))
     return dedup.winners(rows, dedup.duplicate_components(rows)).select("comp", "ganador", "n")
 
 

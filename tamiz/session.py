@@ -3,28 +3,38 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def build_session(master: str = "local[*]", app: str = "tamiz", **conf: str) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "tamiz", **conf: str) -> SparkSession:
+    """A session with this package's settings. The master is whoever's who launched us: spark-submit, spark-defaults or
+    `master`; only a plain Python process that names none gets local[*]."""
     base = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
-    for k, v in (base | conf).items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+    b = SparkSession.builder.appName(app).config(map=base | conf)
+    if master is not None:
+        b = b.master(master)
+    try:
+        spark = b.getOrCreate()
+    except PySparkRuntimeError as e:
+        if master is not None or e.getCondition() != "MASTER_URL_NOT_SET":
+            raise
+        spark = b.master("local[*]").getOrCreate()
     ship(spark)
     return spark
 
@@ -45,12 +55,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir of the session; only where it is unset (tests) make a folder of our own."""
+    """Use spark.checkpoint.dir of the session. Only on a single machine may it be unset, then a folder of our own is made;
+    on a cluster a folder of one machine would lose data, so RuntimeError is raised."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         named = tempfile.mkdtemp(prefix="tamiz-checkpoint-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(f"{named.rstrip('/')}/{uuid.uuid4().hex}")
@@ -62,9 +75,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most `max_rows` rows; else leave it to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def small_side(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring that the side has at most `max_rows` rows and `max_bytes` bytes as text;
+    else leave it to a shuffle join. The side is materialised first, so it is computed once for both uses."""
+    side = cut(df)
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(1)) for c in side.columns), F.lit(8))
+    n, total = side.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    return F.broadcast(side) if n <= max_rows and (total or 0) <= max_bytes else side
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
