@@ -57,20 +57,20 @@ def _table(head: tuple[str, ...], rows: list[tuple]) -> list[str]:
 
 
 def render(m: dict, cutoff: str) -> str:
-    """The report: sections for data quality and zone always, for segment, opt-out and filler only if they occur."""
+    """The report: data quality and zone always, segment, opt-out and filler only if they occur; what was counted apart from what is assumed."""
     d = derived(m)
-    quality = [("Sin teléfono utilizable", m["sin_telefono"])]
-    quality += [("Teléfono de relleno (número inventado)", m["telefono_relleno"])] * (m["telefono_relleno"] > 0)
-    quality += [("Duplicado", m["duplicado"])]
-    quality += [("Puntaje bajo (< 40) sin descarte directo", m["puntaje_bajo"])] * (m["puntaje_bajo"] > 0)
-    out = ["# Reporte de impacto", "", *_table(("Dato", "Valor"), [("Fecha de corte", cutoff), ("Contactos procesados", m["total"])])]
-    out += ["## Resumen", "", *_table(("Métrica", "Cantidad"), [("Contactos en el archivo", m["total"]), ("Contactos únicos", d["unicos"]), ("Contactos llamables", d["llamables"]), ("Contactos descartados", m["descartado"])])]
-    out += ["## Contactos llamables", "", *_table(("Prioridad", "Cantidad", "% del total"), [("Alta", m["alta"], d["pct_alta"] + "%"), ("Media", m["media"], d["pct_media"] + "%")])]
-    out += ["## Motivos de descarte", "", "### Por calidad de dato", "", *_table(("Motivo", "Contactos"), quality)]
-    out += ["### Por zona de cobertura", "", *_table(("Motivo", "Contactos"), [("Fuera de zona de cobertura", m["fuera_zona"])])]
-    for key, title, text in (("segmento", "Por segmento no buscado", "Tipo de persona no buscado"), ("optout", "Por pedido de baja (opt-out)", "En la lista de no llamar")):
+    quality = [("Ningún teléfono al que llamar", m["sin_telefono"])]
+    quality += [("Número inventado", m["telefono_relleno"])] * (m["telefono_relleno"] > 0)
+    quality += [("Repite a otro contacto", m["duplicado"])]
+    quality += [("Sólo por puntaje", m["puntaje_bajo"])] * (m["puntaje_bajo"] > 0)
+    out = ["# Qué deja esta lista", "", f"Antigüedades al {cutoff}. Todo lo contado sale del archivo; los minutos por llamada son un supuesto.", ""]
+    out += ["## Contado en el archivo", "", *_table(("Contactos", "N"), [("Todos", m["total"]), ("Sin repetidos", d["unicos"]), ("Para llamar", d["llamables"]), ("Fuera", m["descartado"])])]
+    out += ["## Para llamar", "", *_table(("Prioridad", "N", "De todos"), [("Alta", m["alta"], d["pct_alta"] + "%"), ("Media", m["media"], d["pct_media"] + "%")])]
+    out += ["## Por qué quedan fuera", "", "### El dato no sirve", "", *_table(("Causa", "N"), quality)]
+    out += ["### El lugar no se atiende", "", *_table(("Causa", "N"), [("Localidad fuera de la zona", m["fuera_zona"])])]
+    for key, title, text in (("segmento", "No es a quien se busca", "Otro tipo de persona"), ("optout", "Pidió que no lo llamen", "Está en la lista de bajas")):
         if m[key] > 0:
-            out += [f"### {title}", "", *_table(("Motivo", "Contactos"), [(text, m[key])])]
-    out += ["Un contacto puede tener más de un motivo.", "", "## Ahorro estimado", ""]
-    out += _table(("Concepto", "Valor"), [("Llamadas evitadas", m["descartado"]), ("Minutos por llamada (supuesto)", MINUTES), ("Horas de operador ahorradas", d["horas"] + " h"), ("Sensibilidad", f"{d['horas_bajo']} h a {d['horas_alto']} h")])
+            out += [f"### {title}", "", *_table(("Causa", "N"), [(text, m[key])])]
+    out += ["Las causas se superponen: quien tiene dos figura en ambas.", "", "## Supuesto, no medido", ""]
+    out += _table(("Si cada llamada lleva", "Horas que no se gastan"), [(f"{MINUTES} minutos", d["horas"]), (f"{MINUTES_LOW} minutos", d["horas_bajo"]), (f"{MINUTES_HIGH} minutos", d["horas_alto"])])
     return "\n".join(out)

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import codecs
-import glob
+import csv
+import io
 import os
-from collections.abc import Iterator
+import sys
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from itertools import islice
+from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tamiz.functions.text import py_trim
+from tamiz.sources.files import list_files, open_bytes
 
 CHUNK = 1 << 20
 # Separators that are tried, with their names.
@@ -22,17 +29,17 @@ class Unreadable(ValueError):
     """The file is no table the rules accept: (found, expected)."""
 
     def __init__(self, found: str, expected: str):
-        super().__init__(f"detectado: {found}; esperado: {expected}")
+        super().__init__(f"{found} (hace falta {expected})")
         self.found, self.expected = found, expected
 
 
 def detect_encoding(path: str) -> tuple[str, bool]:
     """('utf-8' or 'latin-1', byte order mark?) in one streaming pass. Text that holds U+FFFD after decoding counts as Latin-1."""
-    with open(path, "rb") as f:
-        head = f.read(3)
-        bom = head == codecs.BOM_UTF8
+    with open_bytes(path) as f:
+        data = f.read(3)
+        bom = data == codecs.BOM_UTF8
         decoder = codecs.getincrementaldecoder("utf-8")()
-        data = b"" if bom else head
+        data = b"" if bom else data
         try:
             while True:
                 more = f.read(CHUNK)
@@ -45,62 +52,21 @@ def detect_encoding(path: str) -> tuple[str, bool]:
             return "latin-1", bom
 
 
-def text_chunks(path: str, encoding: str, bom: bool) -> Iterator[str]:
-    with open(path, "rb") as f:
+@contextmanager
+def open_text(path: str, encoding: str, bom: bool) -> Iterator[TextIO]:
+    """The file's text without its mark, line ends as they are."""
+    with open_bytes(path) as f:
         if bom:
-            f.seek(3)
-        decoder = codecs.getincrementaldecoder(encoding)()
-        while True:
-            data = f.read(CHUNK)
-            yield decoder.decode(data, final=not data)
-            if not data:
-                return
-
-
-def records(chunks: Iterator[str], sep: str) -> Iterator[list[str]]:
-    """Fields of each record, streaming. A quote opens only at a field's start, doubled quotes stand for one, line
-    breaks inside quotes belong to the value, any of LF, CRLF and CR ends a record, an unfinished last record is kept."""
-    field: list[str] = []
-    row: list[str] = []
-    quoted = after_quote = after_cr = False
-    for chunk in chunks:
-        i, n = 0, len(chunk)
-        while i < n:
-            ch = chunk[i]
-            if after_quote:
-                after_quote = False
-                if ch == '"':
-                    field.append('"')
-                    i += 1
-                    continue
-                quoted = False
-            if quoted:
-                j = chunk.find('"', i)
-                if j < 0:
-                    field.append(chunk[i:])
-                    break
-                field.append(chunk[i:j])
-                after_quote, i = True, j + 1
-                continue
-            if after_cr:
-                after_cr = False
-                if ch == "\n":
-                    i += 1
-                    continue
-            if ch == '"' and not any(field):
-                quoted, field = True, []
-            elif ch == sep:
-                row.append("".join(field))
-                field = []
-            elif ch in "\r\n":
-                after_cr = ch == "\r"
-                yield [*row, "".join(field)]
-                field, row = [], []
-            else:
-                field.append(ch)
-            i += 1
-    if any(field) or row:
-        yield [*row, "".join(field)]
+            f.read(3)
+        yield io.TextIOWrapper(f, encoding=encoding, newline="")
+
+
+def records(text: Iterable[str], sep: str) -> Iterator[list[str]]:
+    """Fields of each record of the lines of `text`, streaming. A quote opens only at a field's start, doubled quotes stand
+    for one, line breaks inside quotes belong to the value, any of LF, CRLF and CR ends a record, an unfinished last record is kept."""
+    csv.field_size_limit(sys.maxsize)
+    for fields in csv.reader(text, delimiter=sep):
+        yield fields or [""]
 
 
 def count_fields(line: str, sep: str) -> int:
@@ -108,42 +74,35 @@ def count_fields(line: str, sep: str) -> int:
     return 1 + sum(part.count(sep) for part in line.split('"')[::2])
 
 
-def sniff_separator(lines: list[str]) -> tuple[str, str]:
-    """(separator, name) from up to ten non-blank lines.
+def support(lines: list[str], sep: str) -> float:
+    """Share of the lines that have the separator's prevailing width, 0 if it doesn't prevail.
 
-    Lines with one field don't vote. The most frequent width (the first seen on ties) must hold for 80 % of the voting
-    and 50 % of all lines; none or two equally supported separators raise Unreadable.
+    Lines the separator doesn't split say nothing about the width, but they do count as lines: the prevailing width must
+    hold for 80 % of the split lines and for half of all.
     """
+    split = [n for n in (count_fields(x, sep) for x in lines) if n > 1]
+    top = Counter(split).most_common(1)
+    agree = top[0][1] if top else 0
+    return agree / len(lines) if agree and 5 * agree >= 4 * len(split) and 2 * agree >= len(lines) else 0.0
+
+
+def sniff_separator(lines: list[str]) -> tuple[str, str]:
+    """(separator, name) with the most support among up to ten non-blank lines; none, or a tie, raises Unreadable."""
     if not lines:
-        raise Unreadable("archivo vacio (0 lineas con contenido)", "un archivo con encabezado y datos")
-    fit = []
-    for sep, name in SEPARATORS:
-        widths = [count_fields(x, sep) for x in lines]
-        votes = [w for w in widths if w >= 2]
-        if votes:
-            mode = max(dict.fromkeys(votes), key=votes.count)
-            share = votes.count(mode) / len(lines)
-            if votes.count(mode) / len(votes) >= 0.8 and share >= 0.5:
-                fit.append((share, sep, name))
-    if not fit:
-        raise Unreadable(f"ningun separador da una cantidad estable de columnas en las primeras {len(lines)} lineas", "una tabla con separador consistente")
-    fit.sort(key=lambda x: -x[0])
-    if len(fit) > 1 and fit[0][0] == fit[1][0]:
-        raise Unreadable(f"dos separadores igual de consistentes: {fit[0][2]} y {fit[1][2]}", "un unico separador dominante")
-    return fit[0][1], fit[0][2]
+        raise Unreadable("no hay ninguna linea con texto", "titulos y contactos")
+    held = {pair: support(lines, pair[0]) for pair in SEPARATORS}
+    most = max(held.values())
+    best = [pair for pair, share in held.items() if share == most and share]
+    if len(best) != 1:
+        names = " y ".join(name for _, name in best)
+        raise Unreadable(f"{names} parten igual de bien las {len(lines)} primeras lineas" if best else f"nada parte en un mismo ancho las {len(lines)} primeras lineas", "un separador claro")
+    return best[0]
 
 
 def first_lines(path: str, encoding: str, bom: bool, n: int = 10) -> list[str]:
     """The first `n` non-blank lines."""
-    out, rest, cr = [], "", False
-    for chunk in text_chunks(path, encoding, bom):
-        text = rest + chunk
-        lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-        rest = lines.pop()
-        out += [x for x in lines if py_trim(x)]
-        if len(out) >= n:
-            return out[:n]
-    return (out + [rest] * bool(py_trim(rest)))[:n]
+    with open_text(path, encoding, bom) as text:
+        return list(islice((x.rstrip("\r\n") for x in text if py_trim(x)), n))
 
 
 class _File(InputPartition):
@@ -153,15 +112,16 @@ class _File(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.sep, self.encoding = options["path"], options["sep"], options.get("encoding", "")
+        self.path, self.sep, self.encoding, self.bom = options["path"], options["sep"], options.get("encoding", ""), options.get("bom", "")
 
     def partitions(self):
-        return [_File(p) for p in sorted(glob.glob(self.path))] or [_File(self.path)]
+        return [_File(p) for p in list_files(self.path)]
 
     def read(self, partition):
-        encoding, bom = detect_encoding(partition.path)
-        for i, fields in enumerate(records(text_chunks(partition.path, self.encoding or encoding, bom), self.sep), 1):
-            yield os.path.basename(partition.path), i, fields
+        encoding, bom = (self.encoding, self.bom == "true") if self.encoding else detect_encoding(partition.path)
+        with open_text(partition.path, encoding, bom) as text:
+            for i, fields in enumerate(records(text, self.sep), 1):
+                yield os.path.basename(partition.path), i, fields
 
 
 class DelimitedSource(DataSource):
@@ -178,7 +138,8 @@ class DelimitedSource(DataSource):
         return _Reader(self.options)
 
 
-def read_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """Records of one file or a glob of files; the files are streamed by the executors, never held whole."""
+def read_records(spark: SparkSession, path: str, sep: str, encoding: str = "", bom: bool = False) -> DataFrame:
+    """Records of one file, or of a folder or glob of files that share a separator; streamed by the executors, never held whole.
+    A known encoding spares each task looking for it."""
     spark.dataSource.register(DelimitedSource)
-    return spark.read.format("tamiz_delimited").option("sep", sep).load(path)
+    return spark.read.format("tamiz_delimited").option("sep", sep).option("encoding", encoding).option("bom", str(bom).lower()).load(path)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tamiz.sources.files import open_bytes
+
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
@@ -26,9 +30,29 @@ def number_text(value: str) -> str:
     return str(int(x)) if x.is_integer() and abs(x) < 1e21 else repr(x)
 
 
+def open_book(path: str) -> zipfile.ZipFile:
+    """The workbook's archive; the directory at its end makes it be read whole."""
+    with open_bytes(path) as f:
+        return zipfile.ZipFile(io.BytesIO(f.read()))
+
+
+def check_book(path: str) -> None:
+    """Raises ValueError for what isn't a readable workbook: the old binary format, a cut or damaged archive, no sheet."""
+    try:
+        with open_book(path) as z:
+            sheets = [n for n in z.namelist() if n.startswith("xl/worksheets/")]
+            if not sheets or z.testzip() is not None:
+                raise ValueError("no whole sheet")
+            for n in {*sheets[:1], "xl/worksheets/sheet1.xml"} & set(sheets):
+                for _, e in ET.iterparse(z.open(n)):
+                    e.clear()
+    except (zipfile.BadZipFile, ET.ParseError, zlib.error, EOFError, NotImplementedError, RuntimeError) as e:
+        raise ValueError(str(e)) from e
+
+
 def rows(path: str) -> Iterator[tuple[list[str], list[bool]]]:
     """(texts, numeric?) of each non-empty row, streaming; missing cells are ''."""
-    with zipfile.ZipFile(path) as z:
+    with open_book(path) as z:
         names = set(z.namelist())
         shared: list[str] = []
         if "xl/sharedStrings.xml" in names:

@@ -68,16 +68,19 @@ def test_moments(spark):
 
 
 def test_moments_zones(spark):
-    df = spark.createDataFrame([(1, None, None, "2026-03-05 10:00"), (2, "Nada/Aqui", "mdy", "2026-03-05 10:00"), (3, None, "mdy", "03/05/2026"), (4, "Australia/Lord_Howe", "dmy", "2026-04-05 01:45")], "i int, z string, o string, t string")
+    df = spark.createDataFrame([(1, None, None, "2026-03-05 10:00"), (2, "Nada/Aqui", "mdy", "2026-03-05 10:00"), (3, None, "mdy", "03/05/2026"), (4, "Australia/Lord_Howe", "dmy", "2026-04-05 01:45"), (5, "UTC", "dmy", "2026-03-05 10:00"), (6, "+03:00", "dmy", "2026-03-05 10:00")], "i int, z string, o string, t string")
     got = {r["i"]: r["resultado"] for r in T.normalise_moments(df, "t", "z", "o").collect()}
-    assert got == {1: "ilegible", 2: "ilegible", 3: "2026-03-05", 4: "ambigua"}
+    assert got == {1: "ilegible", 2: "ilegible", 3: "2026-03-05", 4: "ambigua", 5: "2026-03-05T10:00:00.000000Z", 6: "ilegible"}
     assert T.normalise_moments(df.limit(0), "t", "z", "o").count() == 0
 
 
 def test_final_form(spark):
-    df = spark.createDataFrame([("2026-03-05",), (" 2026-03-05",), ("2026-02-30",), ("2026-03-05T10:00:00.000000Z",), ("2026-03-05T10:00:00Z",)], "t string").selectExpr("t", "'UTC' z", "'dmy' o")
-    out = T.normalise_moments(df, "t", "z", "o").select(T.is_final(F.col("t"), F.col("resultado"))).collect()
-    assert [r[0] for r in out] == [True, False, False, True, False]
+    values = ["2026-03-05", " 2026-03-05", "2026-02-30", "2026-03-05T10:00:00.000000Z", "2026-03-05T10:00:00Z", "0050-01-01", "0100-01-01", "2026-03-05T24:00:00.000000Z", "2026-03-05T10:00:60.000000Z", None]
+    df = spark.createDataFrame([(i, v, "UTC", "dmy") for i, v in enumerate(values)], "i int, t string, z string, o string")
+    out = T.normalise_moments(df.withColumn("final", T.is_final(F.col("t"))), "t", "z", "o").orderBy("i").collect()
+    assert [r["final"] for r in out] == [True, False, False, True, False, False, True, False, False, False]
+    # What counts as final is exactly what the cascade gives back unchanged.
+    assert [r["final"] for r in out] == [r["t"] is not None and r["t"] == r["resultado"] for r in out]
 
 
 def test_profile(spark):
@@ -135,6 +138,35 @@ def test_share_shifts_brute(spark):
     assert got == want and want
 
 
-def test_stray(spark):
-    t = spark.createDataFrame([(1, "TRUE"), (2, "true"), (3, ""), (4, None), (5, "TRUE "), (5, "TRUE ")], "id long, b string")
-    assert sorted(r["clave"] for r in P.stray_values(t, "id", {"b": ("TRUE", "FALSE")}).collect()) == [2, 5, 5]
+def test_violations(spark):
+    t = spark.createDataFrame([(1, 1, "TRUE"), (2, 1, "true"), (3, 1, ""), (4, 2, None), (5, 2, "TRUE "), (5, 2, "TRUE "), (6, None, "x"), (7, 2, "FALSE\n")], "id long, carga long, b string")
+    bad = P.violations(P.value_counts(t, "carga", ["b"]), {"b": "TRUE|FALSE"})
+    assert {(r["valor"], r["n"]) for r in bad.collect()} == {("true", 1), ("TRUE ", 2), ("x", 1), ("FALSE\n", 1)}
+    for most in (1_000_000, 1):
+        assert sorted(r["clave"] for r in P.violating_rows(t, "id", bad, ["b"], most).collect()) == [2, 5, 5, 6, 7]
+    assert P.violating_rows(t.limit(0), "id", bad, ["b"]).count() == 0
+
+
+def test_wide_profile(spark):
+    """Columns profiled directly come out as those profiled from their counts."""
+    rows = [(i, i % 3 if i % 7 else None, ["a", "", None, "bb", "c\n"][i % 5], float(i % 11) if i % 4 else None, i * 10**15 - 99) for i in range(200)]
+    t = spark.createDataFrame(rows, "id int, carga int, s string, d double, m long")
+    patterns = {"s": "[a-z]"}
+    get = lambda df: sorted(map(str, df.select("carga", "columna", "filas", "nulos", "vacios", "distintos", "minimo", "maximo", "violaciones").collect()))
+    counted = get(P.column_profile(P.value_counts(t, "carga", ["id", "s", "d", "m"]), patterns, schema=t.schema))
+    assert get(P.wide_profile(t, "carga", ["id", "s", "d", "m"], patterns)) == counted
+    for narrow in (0, 0.1, 1):
+        assert get(P.full_profile(t, "carga", patterns, narrow)) == counted
+    assert P.full_profile(t.limit(0), "carga").count() == 0
+
+
+def test_share_differences(spark):
+    """The standardised difference of a share is that of its indicator."""
+    rows = [(k, "a" if i < 10 * (k + 1) else "b") for k in range(4) for i in range(50)]
+    t = spark.createDataFrame(rows, "carga long, v string")
+    got = {(r["carga"], r["valor"]): r for r in P.share_shifts(P.value_counts(t, "carga", ["v"]), 0.21).collect()}
+    ones = t.selectExpr("carga", "if(v = 'a', 1, 0) x")
+    plain = {r["carga"]: r for r in P.standardised_differences(P.power_sums(P.value_counts(ones, "carga", ["x"]))).collect()}
+    assert set(got) == {(0, "a"), (0, "b"), (3, "a"), (3, "b")}
+    for k in (0, 3):
+        assert got[(k, "a")]["parte"] == pytest.approx(plain[k]["media"]) and got[(k, "a")]["diferencia"] == pytest.approx(plain[k]["diferencia"])
