@@ -7,6 +7,7 @@ from tamiz.llm import components, encodings, leakage, mapping, survivors, tokens
 QUERIES = {
     "p3_found": survivors.found,
     "p3_truth": survivors.truth,
+    "p3_agreement": survivors.agreement,
     "p4_found": mapping.found,
     "p5_found": components.found_groups,
     "p7_found": encodings.found,

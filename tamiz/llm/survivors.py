@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tamiz.functions.dates import load_date
 from tamiz.functions.taxid import taxid_valid
 from tamiz.functions.text import fold, is_blank
 from tamiz.llm.components import consolidate, declared_edges
-from tamiz.session import cut, small_side
+from tamiz.operators.skew import skewed_lookup
+from tamiz.session import cut
 
 FIELDS = ("nombre", "cuil", "telefono", "localidad", "origen", "fecha_carga")
 
@@ -50,42 +52,74 @@ def survivors(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return long.where("id_fila is not null")
 
 
-def value_truth(claims: DataFrame, rounds: int = 8, max_sources: int = 100_000) -> DataFrame:
+def claim_patterns(claims: DataFrame) -> DataFrame:
+    """`objeto, campo, valor, patron(cubren, dicen)`: for each claimed value the sources that cover its object's field and
+    those that claim it. Repeated claims count once, nulls in any column are left out.
+
+    Arrays are no longer than the number of sources, and are combined before the shuffle.
+    """
+    c = claims.select("objeto", "campo", "valor", "fuente").where(F.expr("objeto is not null and campo is not null and valor is not null and fuente is not null"))
+    said = cut(c.groupBy("objeto", "campo", "valor").agg(F.sort_array(F.collect_set("fuente")).alias("dicen")))
+    cover = said.select("objeto", "campo", F.explode("dicen").alias("fuente")).groupBy("objeto", "campo").agg(F.sort_array(F.collect_set("fuente")).alias("cubren"))
+    return said.join(cover, ["objeto", "campo"]).select("objeto", "campo", "valor", F.struct("cubren", "dicen").alias("patron"))
+
+
+def source_quality(patterns: DataFrame, tolerance: float = 1e-3, max_rounds: int = 300, max_sources: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """(`fuente, sens, spec, prior`, `patron, probabilidad`) of the latent two-sided model for `patterns(patron, n)`.
+
+    Values with the same covering and claiming sources are equally likely, so expectation-maximisation runs on the distinct
+    patterns and their counts, which are sufficient. It goes on until no rate moves by more than `tolerance` and raises
+    RuntimeError if that takes more than `max_rounds` rounds; the lineage is cut every round.
+    """
+    numbered = cut(patterns.withColumn("pid", F.monotonically_increasing_id()))
+    m = cut(
+        numbered.select("pid", "n", (F.col("n") / F.size("patron.cubren")).alias("once"), "patron.dicen", F.explode("patron.cubren").alias("fuente"))
+        .select("pid", "n", "once", "fuente", F.array_contains("dicen", F.col("fuente")).cast("int").alias("says"))
+    )
+    rates = cut(m.select("fuente").distinct().select("fuente", F.lit(0.8).alias("sens"), F.lit(0.9).alias("spec"), F.lit(0.5).alias("prior")))
+    few = F.broadcast if rates.count() <= max_sources else (lambda x: x)
+    clip = lambda x: F.least(F.greatest(x, F.lit(0.01)), F.lit(0.99))
+
+    def judged() -> DataFrame:
+        says = F.when(F.col("says") == 1, F.log(F.col("sens") / (1 - F.col("spec")))).otherwise(F.log((1 - F.col("sens")) / F.col("spec")))
+        odds = F.sum(says).over(Window.partitionBy("pid")) + F.log(F.col("prior") / (1 - F.col("prior")))
+        return m.join(few(rates), "fuente").withColumn("p", 1 / (1 + F.exp(-odds)))
+
+    # One claim of each kind as a prior keeps the rates off 0 and 1.
+    sens = clip((F.col("ct") + 0.8) / (F.col("t") + 1))
+    spec = clip((F.col("k") - F.col("t") - F.col("ck") + F.col("ct") + 0.9) / (F.col("k") - F.col("t") + 1))
+    for _ in range(max_rounds):
+        np, says = F.col("n") * F.col("p"), F.col("says")
+        s = judged().groupBy("fuente").agg(
+            F.sum(np).alias("t"), F.sum("n").alias("k"), F.sum(np * says).alias("ct"), F.sum(F.col("n") * says).alias("ck"), F.sum(F.col("once") * F.col("p")).alias("true"), F.sum("once").alias("all"),
+            *[F.first(c).alias(f"old_{c}") for c in ("sens", "spec", "prior")],
+        )
+        s = cut(s)
+        moved, true, total, old = s.agg(F.max(F.greatest(F.abs(sens - F.col("old_sens")), F.abs(spec - F.col("old_spec")))), F.sum("true"), F.sum("all"), F.max("old_prior")).first()
+        if total is None:
+            break
+        prior = min(max(true / total, 0.01), 0.99)
+        rates = s.select("fuente", sens.alias("sens"), spec.alias("spec"), F.lit(prior).alias("prior"))
+        if max(moved, abs(prior - old)) <= tolerance:
+            break
+    else:
+        raise RuntimeError(f"the sources' rates did not settle in {max_rounds} rounds")
+    p = judged().groupBy("pid").agg(F.max("p").alias("probabilidad"))
+    return rates, cut(numbered.join(p, "pid").select("patron", "n", "probabilidad"))
+
+
+def value_truth(claims: DataFrame, tolerance: float = 1e-3, max_rounds: int = 300) -> DataFrame:
     """`objeto, campo, valor, probabilidad` for `claims(objeto, campo, valor, fuente)`.
 
     A source covers an object's field if it claims any value of it. A true value is claimed by a covering source
     with the source's sensitivity, a false one with one minus its specificity; both are learnt by
     expectation-maximisation together with the share of true values. Values are judged one by one, so a field may keep
-    several. Silence enters as one constant per object, so work follows the claims and not values times sources.
-    Nulls in any column are left out; repeated claims count once; no claims give no rows.
+    several. Nulls in any column are left out; repeated claims count once; no claims give no rows.
     """
-    c = cut(claims.select("objeto", "campo", "valor", "fuente").where(F.expr("objeto is not null and campo is not null and valor is not null and fuente is not null")).distinct())
-    obj = ["objeto", "campo"]
-    cover = cut(c.select(*obj, "fuente").distinct())
-    sources = cover.select("fuente").distinct().select("fuente", F.lit(0.8).alias("sens"), F.lit(0.9).alias("spec"), F.lit(0.5).alias("prior"))
-    p = None
-    for _ in range(rounds):
-        weights = small_side(
-            cut(sources.select("fuente", "prior", F.log(F.col("sens") / (1 - F.col("spec"))).alias("yes"), F.log((1 - F.col("sens")) / F.col("spec")).alias("no"))), max_sources
-        )
-        silent = cover.join(weights, "fuente").groupBy(*obj).agg(F.sum("no").alias("base"), F.max(F.log(F.col("prior") / (1 - F.col("prior")))).alias("odds"))
-        said = c.join(weights, "fuente").groupBy(*obj, "valor").agg(F.sum(F.col("yes") - F.col("no")).alias("score"))
-        p = cut(said.join(silent, obj).select(*obj, "valor", (1 / (1 + F.exp(-(F.col("score") + F.col("base") + F.col("odds"))))).alias("probabilidad")))
-        per = p.groupBy(*obj).agg(F.sum("probabilidad").alias("t"), F.count(F.lit(1)).alias("k"))
-        covered = cover.join(per, obj).groupBy("fuente").agg(F.sum("t").alias("t"), F.sum("k").alias("k"))
-        claimed = c.join(p, [*obj, "valor"]).groupBy("fuente").agg(F.sum("probabilidad").alias("ct"), F.count(F.lit(1)).alias("ck"))
-        prior = p.agg(F.avg("probabilidad")).first()[0]
-        if prior is None:
-            break
-        prior = min(max(prior, 0.01), 0.99)
-        # One claim of each kind as a prior keeps the rates off 0 and 1.
-        sources = covered.join(claimed, "fuente").select(
-            "fuente", ((F.col("ct") + 0.8) / (F.col("t") + 1)).alias("sens"),
-            ((F.col("k") - F.col("t") - F.col("ck") + F.col("ct") + 0.9) / (F.col("k") - F.col("t") + 1)).alias("spec"), F.lit(prior).alias("prior"),
-        )
-        clip = lambda x: F.least(F.greatest(F.col(x), F.lit(0.01)), F.lit(0.99)).alias(x)
-        sources = sources.select("fuente", clip("sens"), clip("spec"), "prior")
-    return p
+    values = cut(claim_patterns(claims))
+    patterns = values.groupBy("patron").agg(F.count(F.lit(1)).alias("n"))
+    _, judged = source_quality(patterns, tolerance, max_rounds)
+    return skewed_lookup(values, judged, "patron", weight="n").select("objeto", "campo", "valor", "probabilidad")
 
 
 def found(spark, sf_dir: str) -> DataFrame:
@@ -94,10 +128,32 @@ def found(spark, sf_dir: str) -> DataFrame:
     return survivors(t, duplicate_groups(t.select("id_fila", "duplicado_de")))
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """`id_fila, fuente, campo, valor`: the usable lead fields, folded; lots are the sources."""
+    cells = F.array(*[F.struct(F.lit(c).alias("campo"), F.when(usable(c), fold(F.col(c))).alias("valor")) for c in FIELDS])
+    return rows.select("id_fila", F.col("archivo_id").alias("fuente"), F.inline(cells)).where("valor is not null")
+
+
+def _judged(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    return value_truth(_cells(rows).join(groups, "id_fila").select(F.col("grupo").alias("objeto"), "campo", "valor", "fuente"))
+
+
 def truth(spark, sf_dir: str) -> DataFrame:
-    """Every value of every lead field in the groups, with its probability of being true; lots are the sources."""
+    """Every value of every lead field in the groups, with its probability of being true."""
     t = spark.read.parquet(f"{sf_dir}/salida_adv1.parquet")
-    groups = duplicate_groups(t.select("id_fila", "duplicado_de"))
-    cells = F.array(*[F.struct(F.lit(c).alias("campo"), F.when(usable(c), fold(F.col(c))).alias("valor")) for c in FIELDS])
-    claims = t.select("id_fila", F.col("archivo_id").alias("fuente"), F.inline(cells)).join(groups, "id_fila")
-    return value_truth(claims.select(F.col("grupo").alias("objeto"), "campo", "valor", "fuente")).withColumn("probabilidad", F.round("probabilidad", 6))
+    return _judged(t, duplicate_groups(t.select("id_fila", "duplicado_de"))).withColumn("probabilidad", F.round("probabilidad", 6))
+
+
+def agreement(spark, sf_dir: str) -> DataFrame:
+    """`campo, casos, iguales, disputados, iguales_disputados`: how often the surviving value by the stated order is one that
+    the model finds most probable, among all group fields and among those with more than one value."""
+    t = spark.read.parquet(f"{sf_dir}/salida_adv1.parquet")
+    groups = cut(duplicate_groups(t.select("id_fila", "duplicado_de")))
+    judged = cut(_judged(t, groups))
+    best = judged.groupBy("objeto", "campo").agg(F.max("probabilidad").alias("top"), F.count(F.lit(1)).alias("k"))
+    chosen = survivors(t, groups).join(_cells(t), ["id_fila", "campo"]).select(F.col("grupo").alias("objeto"), "campo", "valor")
+    j = chosen.join(judged, ["objeto", "campo", "valor"]).join(best, ["objeto", "campo"])
+    same = F.col("probabilidad") > F.col("top") - 1e-9
+    return j.groupBy("campo").agg(
+        F.count(F.lit(1)).alias("casos"), F.count_if(same).alias("iguales"), F.count_if(F.col("k") > 1).alias("disputados"), F.count_if(same & (F.col("k") > 1)).alias("iguales_disputados")
+    )
