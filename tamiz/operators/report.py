@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import is_blank, text_or_empty, trim_ws
@@ -52,6 +52,17 @@ def derived(m: dict) -> dict:
     }
 
 
+def derived_row(m: DataFrame) -> DataFrame:
+    """The numbers of `derived` as columns beside one row of `metrics`: exact tenths, halves up, by integer arithmetic."""
+    def tenths(top: Column, bottom: Column) -> Column:
+        return F.floor((20 * top + bottom) / (2 * bottom)).cast("bigint")
+
+    gone, total = F.col("descartado"), F.col("total")
+    hours = [tenths(gone * n, F.lit(60)).alias(f"decimas_hora_{n}") for n in (MINUTES, MINUTES_LOW, MINUTES_HIGH)]
+    share = [F.when(total > 0, tenths(F.col(c) * 100, total)).otherwise(0).cast("bigint").alias(f"decimas_pct_{c}") for c in ("alta", "media")]
+    return m.select((total - F.col("duplicado")).alias("unicos"), (F.col("alta") + F.col("media")).alias("llamables"), *hours, *share)
+
+
 def _table(head: tuple[str, ...], rows: list[tuple]) -> list[str]:
     return ["| " + " | ".join(head) + " |", "|" + "---|" * len(head), *["| " + " | ".join(map(str, r)) + " |" for r in rows], ""]
 

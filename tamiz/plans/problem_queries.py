@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tamiz.operators import load_records, profile, timestamps
+from tamiz.plans.reference_queries import WS_SQL, phone_sql
 
 QUERIES = {
     "p1_found": load_records.found,
+    "p1_phones": lambda s, d: load_records.bad_phones(s.read.parquet(f"{d}/leads_prueba_sintetico_1.parquet")),
     "p2_found": timestamps.found,
     "p6_found": profile.found,
     "p6_profile": profile.table_profile,
@@ -14,7 +16,25 @@ QUERIES = {
 
 _P6_COLUMNS = ("telefono_tipo", "cuil_valido", "en_zona")
 
+# The columns of salida_adv1 beside the load, by kind.
+_TEXTS = "nombre cuil telefono localidad origen fecha_carga telefono_norm telefono_tipo cuil_norm cuil_valido cuil_dudoso telefono_match es_duplicado motivo_duplicado en_zona marcado motivo_descarte fecha_corte_usada frescura motivo_frescura prioridad motivo".split()
+_NUMBERS = "id_fila archivo_id duplicado_de dias_antiguedad puntaje".split()
+
+
+def _profile_sql(c: str) -> str:
+    text = c in _TEXTS
+    pattern = profile.PATTERNS.get(c)
+    wrong = f"count(*) FILTER ({c} <> '' AND NOT regexp_full_match({c}, '{pattern}'))" if pattern else "CAST(NULL AS BIGINT)"
+    empty = f"count(*) FILTER ({c} = '')" if text else "CAST(0 AS BIGINT)"
+    return (
+        f"SELECT carga_id AS carga, '{c}' AS columna, count(*) AS filas, count(*) FILTER ({c} IS NULL) AS nulos, {empty} AS vacios, count(DISTINCT {c}) AS distintos, "
+        f"CAST(min({c}) AS VARCHAR) AS minimo, CAST(max({c}) AS VARCHAR) AS maximo, {wrong} AS violaciones FROM salida_adv1 GROUP BY 1"
+    )
+
+
 SQL = {
+    "p1_phones": phone_sql("leads_prueba_sintetico_1", "lead_id") + f"SELECT id_fila AS registro_id, 'valor' AS motivo FROM phones WHERE tv = 'i' AND regexp_matches(telefono, '[^{WS_SQL}]')",
+    "p6_profile": " UNION ALL ".join(map(_profile_sql, [*_TEXTS, *_NUMBERS])),
     "p6_found": """
 WITH t AS (
   SELECT id_fila, carga_id, 'telefono_tipo' AS columna, telefono_tipo AS v FROM salida_adv1

@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.dates import age_bucket, age_days, age_reasons, load_date, resolve_cutoff
-from tamiz.functions.phone import is_filler_phone, match_key, with_phone
+from tamiz.functions.phone import is_filler_phone, match_key, phone_norm, with_phone
 from tamiz.functions.taxid import person_type, with_taxid
-from tamiz.functions.text import fold, locality_core, py_fold, signed
+from tamiz.functions.text import fold, is_blank, locality_core, py_fold, signed
 from tamiz.operators import dedup, mutations, report, rules
+from tamiz.operators.compare import differences
 from tamiz.operators.order import with_position
-from tamiz.plans.config import FILLER_NAMES, FILLER_SEQUENCES, PlanConfig, Segment
+from tamiz.plans.config import CANONICAL, FILLER_NAMES, FILLER_SEQUENCES, PlanConfig, Segment
 from tamiz.plans.derived import CUTOFF, leads, oracle_leads
-from tamiz.plans.pipeline import AUDIT, COMMERCIAL, build
+from tamiz.plans.pipeline import AUDIT, COMMERCIAL, build, coerce
 from tamiz.session import cut
 from tamiz.sources.sinks import csv_lines
 
 CONFIG = PlanConfig(cutoff=CUTOFF)
 SEGMENT = PlanConfig(cutoff=CUTOFF, segment=Segment(True, "juridica"))
+EARLIER = "2001-07-01"
 
 
 def keyed(spark, d) -> DataFrame:
@@ -36,9 +38,9 @@ def optout_rows(spark, d) -> DataFrame:
     return df.select(F.concat(F.lit(" "), F.col("telefono"), F.lit(" ")).alias("telefono"), F.when(F.col("id_fila") % 46 == 0, F.col("cuil")).otherwise("").alias("cuil"))
 
 
-def dates(spark, d) -> DataFrame:
+def dates(spark, d, cutoff=CUTOFF) -> DataFrame:
     raw = F.col("fecha_carga")
-    days = age_days(load_date(raw), resolve_cutoff(CUTOFF)[0])
+    days = age_days(load_date(raw), resolve_cutoff(cutoff)[0])
     return leads(spark, d).select("id_fila", days.alias("dias_antiguedad"), age_bucket(days).alias("frescura"), age_reasons(raw, days).alias("motivo_frescura"))
 
 
@@ -79,6 +81,30 @@ def segment(spark, d) -> DataFrame:
     return rules.with_segment(keyed(spark, d), SEGMENT.segment).select("id_fila", "tipo_persona", "descarte_segmento", "motivo_segmento")
 
 
+def optout_values(spark, d) -> DataFrame:
+    phones, ids, _ = rules.optout_sets(optout_rows(spark, d))
+    return phones.select(F.lit("telefono").alias("clase"), F.col("telefono_norm").alias("valor")).unionByName(ids.select(F.lit("cuil").alias("clase"), F.col("cuil_norm").alias("valor")))
+
+
+def everything(spark, d) -> DataFrame:
+    """Plan 14 with the opt-out list and the segment on."""
+    done = build(leads(spark, d), "14", SEGMENT, rules.optout_sets(optout_rows(spark, d))[:2])
+    return done.select("id_fila", "tipo_persona", "optout_via", "puntaje", "prioridad", "motivo")
+
+
+def positions(spark, d) -> DataFrame:
+    rows = leads(spark, d).select("id_fila", "nombre", "origen")
+    return with_position(rows, [F.col("origen").asc(), F.col("id_fila").desc()], "posicion").select("id_fila", "posicion")
+
+
+def delivered(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/leads_prueba_sintetico_1.parquet").withColumn("id_fila", F.col("lead_id"))
+
+
+def records(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/leads_adversario_2.parquet")
+
+
 def one(*columns):
     return lambda spark, d: scored(spark, d).select("id_fila", *columns)
 
@@ -110,6 +136,16 @@ QUERIES = {
     "r5_origin_freq": lambda s, d: report.origin_frequencies(leads(s, d)),
     "r7_extra_rows": lambda s, d: dedup.extra_rows(keyed(s, d), ["cuil_norm", "telefono_match"]),
     "r9_mutations": lambda s, d: mutations.undetected(keyed(s, d)),
+    "r3_derived": lambda s, d: report.derived_row(report.metrics(scored(s, d))),
+    "k2_audit_lines": lambda s, d: csv_lines(scored(s, d), list(AUDIT)),
+    "g4_everything": everything,
+    "j2_optout_values": optout_values,
+    "j7_differences": lambda s, d: differences(dates(s, d, EARLIER), dates(s, d)),
+    "n3_match_key": lambda s, d: delivered(s, d).select("id_fila", match_key(phone_norm(F.col("telefono"))).alias("telefono_match")),
+    "n4_position": positions,
+    "n7_name_fold": lambda s, d: delivered(s, d).select("id_fila", fold(F.col("nombre")).alias("plegado")),
+    "s14_coerce": lambda s, d: coerce(delivered(s, d)),
+    "flt_p1_blank": lambda s, d: records(s, d).where(~is_blank(F.col("c0"))).groupBy("archivo_id").agg(F.count(F.lit(1)).alias("registros")),
     "k1_commercial_lines": lambda s, d: csv_lines(scored(s, d), list(COMMERCIAL)),
 }
 
@@ -164,13 +200,13 @@ _ISO = (
 )
 
 
-def _flags(source: str, name: str) -> str:
+def _flags(source: str, name: str, cutoff: str = CUTOFF) -> str:
     return f""",
 {name}_a AS (SELECT *, trim(localidad) = '' AS sin_localidad, trim(localidad) <> '' AND {_CORE} IN {_ZONE} AS en_zona, try_cast({_ISO} AS DATE) AS dia FROM {source}),
 {name}_b AS (SELECT *, concat_ws('; ', CASE WHEN telefono_tipo = 'invalido' THEN 'sin teléfono utilizable' END, CASE WHEN trim(nombre) = '' THEN 'sin nombre' END,
     CASE WHEN sin_localidad THEN 'sin localidad' WHEN NOT en_zona THEN 'fuera de zona de cobertura' END) AS motivo_descarte,
-  CAST(datediff('day', dia, DATE '{CUTOFF}') AS INT) AS dias_antiguedad FROM {name}_a),
-{name} AS (SELECT *, motivo_descarte <> '' AS marcado, '{CUTOFF}' AS fecha_corte_usada,
+  CAST(datediff('day', dia, DATE '{cutoff}') AS INT) AS dias_antiguedad FROM {name}_a),
+{name} AS (SELECT *, motivo_descarte <> '' AS marcado, '{cutoff}' AS fecha_corte_usada,
   CASE WHEN dias_antiguedad IS NULL OR dias_antiguedad < 0 THEN 'sin dato' WHEN dias_antiguedad <= 15 THEN 'alta' WHEN dias_antiguedad <= 45 THEN 'media' WHEN dias_antiguedad <= 90 THEN 'baja' ELSE 'fria' END AS frescura,
   concat_ws('; ', CASE WHEN trim(fecha_carga) = '' THEN 'fecha vacia' WHEN dia IS NULL THEN 'fecha ilegible'
     WHEN regexp_full_match(trim(fecha_carga), '(0[0-9]|1[0-2])/(0[0-9]|1[0-2])/[0-9]{{4}}') THEN 'fecha ambigua' END,
@@ -205,6 +241,45 @@ hit AS (SELECT id_fila, telefono_norm <> '' AND telefono_norm IN (SELECT bt FROM
 """
 
 
+# The white space that counts, as a class of DuckDB's regular expressions.
+WS_SQL = r"\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+
+
+def phone_sql(table: str, key: str) -> str:
+    """CTEs up to `phones(id_fila, telefono, tv)` of a delivered table; `tv` is a letter for the type and the canonical number."""
+    return f"""
+WITH q1 AS (SELECT {key} AS id_fila, telefono, coalesce(telefono, '') AS t0 FROM {table}),
+q2 AS (SELECT *, regexp_replace(t0, '^[{WS_SQL}]+|[{WS_SQL}]+$', '', 'g') AS tr, regexp_replace(split_part(t0, '/', 1), '[{WS_SQL}]+', '', 'g') AS tc FROM q1),
+q3 AS (SELECT *, regexp_replace(tc, '[^0-9]', '', 'g') AS td FROM q2),
+q4 AS (SELECT *, CASE WHEN td LIKE '0%' THEN substr(td, 2) ELSE td END AS tl FROM q3),
+phones AS (SELECT id_fila, telefono, CASE
+    WHEN regexp_matches(tr, '[a-zA-Z]') OR td = '' THEN 'i'
+    WHEN starts_with(tc, '+549') THEN CASE WHEN length(td) = 13 THEN 'c+549' || substr(td, 4) ELSE 'i' END
+    WHEN starts_with(tc, '+54') THEN CASE WHEN length(td) = 12 THEN 'f+54' || substr(td, 3) ELSE 'i' END
+    WHEN td LIKE '549%' AND length(td) = 13 THEN 'c+549' || substr(td, 4)
+    WHEN length(tl) BETWEEN 12 AND 14 AND substr(tl, length(tl) - 9, 2) = '15' THEN 'c+549' || substr(tl, 1, length(tl) - 10) || right(tl, 8)
+    WHEN length(td) = 11 AND td LIKE '0%' THEN 'f+54' || substr(td, 2)
+    WHEN length(td) = 10 AND td LIKE '15%' THEN 'i'
+    WHEN length(td) = 10 AND tc NOT LIKE '+%' THEN 'a+54' || td ELSE 'i' END AS tv FROM q4)
+"""
+
+
+_SEGMENT = """CASE WHEN length(cuil_norm) <> 11 THEN 'desconocida' WHEN substr(cuil_norm, 1, 2) IN ('20', '23', '24', '27') THEN 'fisica'
+WHEN substr(cuil_norm, 1, 2) IN ('30', '33', '34') THEN 'juridica' ELSE 'desconocida' END"""
+_ALL = (
+    _SCORE
+    + _OPTOUT
+    + f""",
+full0 AS (SELECT s.*, {_SEGMENT} AS tipo_persona, CASE WHEN h.pt AND h.pc THEN 'ambos' WHEN h.pt THEN 'telefono' WHEN h.pc THEN 'cuil' END AS optout_via FROM scored s JOIN hit h USING (id_fila)),
+full1 AS (SELECT * EXCLUDE (motivo), concat_ws('; ', CASE WHEN {_NAME_FILLER} THEN left(motivo, length(motivo) - length('; nombre de relleno +0')) ELSE motivo END,
+  CASE WHEN tipo_persona = 'juridica' THEN 'persona jurídica (segmento no buscado) +0 → descarte' END, CASE WHEN optout_via IS NOT NULL THEN 'opt-out del cliente +0 → descarte' END,
+  CASE WHEN {_NAME_FILLER} THEN 'nombre de relleno +0' END) AS motivo FROM full0)
+SELECT id_fila, tipo_persona, optout_via, puntaje, CASE WHEN contains(motivo, '→ descarte') THEN 'descartado' ELSE prioridad END AS prioridad, motivo FROM full1
+"""
+)
+_TENTHS = lambda top, bottom: f"CAST(floor((20 * ({top}) + {bottom}) / (2 * {bottom})) AS BIGINT)"
+
+
 def _mutation_sql() -> str:
     total = " + ".join(f"CAST(substr(m, {i + 1}, 1) AS INT) * {w}" for i, w in enumerate((5, 4, 3, 2, 7, 6, 5, 4, 3, 2)))
     return f""",
@@ -216,8 +291,11 @@ SELECT CAST(count(*) / 99 AS BIGINT) AS base, count(*) AS mutaciones,
 """
 
 
-def _csv(c: str) -> str:
-    v = f"coalesce(CAST({c} AS VARCHAR), '')"
+BOOLEANS = ("cuil_valido", "cuil_dudoso", "es_duplicado", "en_zona", "marcado")
+
+
+def _csv(c: str, boolean: bool = False) -> str:
+    v = f"coalesce({'upper' * boolean}(CAST({c} AS VARCHAR)), '')"
     return f"CASE WHEN regexp_matches({v}, '[,\"\\n\\r]') THEN '\"' || replace({v}, '\"', '\"\"') || '\"' ELSE {v} END"
 
 
@@ -258,5 +336,22 @@ count(*) FILTER (prioridad = 'descartado') AS descartado FROM scored""",
     "r7_extra_rows": _CANON + """, k AS (SELECT 'cuil_norm' AS clave, cuil_norm AS v, count(*) AS n FROM canon GROUP BY 1, 2 UNION ALL SELECT 'telefono_match', telefono_match, count(*) FROM canon GROUP BY 1, 2)
 SELECT clave, CAST(sum(CASE WHEN v <> '' THEN n - 1 ELSE 0 END) AS BIGINT) AS sobrantes, CAST(sum(n - 1) AS BIGINT) AS con_vacios FROM k GROUP BY 1""",
     "r9_mutations": _CANON + _mutation_sql(),
+    "r3_derived": _CANON + _SCORE + f""", c AS (SELECT count(*) AS total, count(*) FILTER (prioridad = 'alta') AS alta, count(*) FILTER (prioridad = 'media') AS media,
+count(*) FILTER (prioridad = 'descartado') AS gone, {_tag('duplicado')} AS dup FROM scored)
+SELECT total - dup AS unicos, alta + media AS llamables, {_TENTHS('gone * 4', 60)} AS decimas_hora_4, {_TENTHS('gone * 2', 60)} AS decimas_hora_2, {_TENTHS('gone * 5', 60)} AS decimas_hora_5,
+{_TENTHS('alta * 100', 'total')} AS decimas_pct_alta, {_TENTHS('media * 100', 'total')} AS decimas_pct_media FROM c""",
+    "k2_audit_lines": _CANON + _SCORE + f"SELECT {' || chr(44) || '.join(_csv(c, c in BOOLEANS) for c in AUDIT)} AS linea FROM scored",
+    "g4_everything": _CANON + _ALL,
+    "j2_optout_values": _CANON + _OPTOUT + "SELECT DISTINCT 'telefono' AS clase, bt AS valor FROM baja WHERE bt <> '' UNION ALL SELECT DISTINCT 'cuil', bc FROM baja WHERE bc IS NOT NULL",
+    "j7_differences": _CANON + _flags("canon", "f") + _flags("canon", "g", EARLIER) + """
+SELECT f.id_fila, 'dias_antiguedad' AS columna, CAST(g.dias_antiguedad AS VARCHAR) AS antes, CAST(f.dias_antiguedad AS VARCHAR) AS despues FROM f JOIN g USING (id_fila) WHERE f.dias_antiguedad IS DISTINCT FROM g.dias_antiguedad
+UNION ALL SELECT f.id_fila, 'frescura', g.frescura, f.frescura FROM f JOIN g USING (id_fila) WHERE f.frescura <> g.frescura
+UNION ALL SELECT f.id_fila, 'motivo_frescura', g.motivo_frescura, f.motivo_frescura FROM f JOIN g USING (id_fila) WHERE f.motivo_frescura <> g.motivo_frescura""",
+    "n3_match_key": phone_sql("leads_prueba_sintetico_1", "lead_id") + """, k AS (SELECT id_fila, regexp_replace(substr(tv, 2), '[^0-9]', '', 'g') AS n FROM phones)
+SELECT id_fila, CASE WHEN length(n) >= 10 THEN right(n, 10) ELSE '' END AS telefono_match FROM k""",
+    "n4_position": _CANON + "SELECT id_fila, row_number() OVER (ORDER BY origen, id_fila DESC) AS posicion FROM leads",
+    "n7_name_fold": f"SELECT lead_id AS id_fila, regexp_replace(regexp_replace(lower(strip_accents(coalesce(nombre, ''))), '^[{WS_SQL}]+|[{WS_SQL}]+$', '', 'g'), '[{WS_SQL}]+', ' ', 'g') AS plegado FROM leads_prueba_sintetico_1",
+    "s14_coerce": f"SELECT lead_id AS id_fila, {', '.join(f"coalesce({c}, '') AS {c}" for c in CANONICAL)} FROM leads_prueba_sintetico_1",
+    "flt_p1_blank": f"SELECT archivo_id, count(*) AS registros FROM leads_adversario_2 WHERE regexp_matches(c0, '[^{WS_SQL}]') GROUP BY 1",
     "k1_commercial_lines": _CANON + _SCORE + f"SELECT {' || chr(44) || '.join(_csv(c) for c in COMMERCIAL)} AS linea FROM scored",
 }

@@ -37,8 +37,11 @@ def write_csv(df: DataFrame, columns: list[str], path: str) -> int:
 
 
 def write_partitioned_csv(df: DataFrame, columns: list[str], path: str) -> None:
-    """The same lines as a folder of part files written by the executors, for tables beyond one machine."""
-    csv_lines(df, columns).write.mode("overwrite").text(path)
+    """The same lines in the same order as part files in `path`/filas, written by the executors, and the header in
+    `path`/encabezado; for tables beyond one machine. Joined in the order of their names the parts are the single file."""
+    lines = csv_lines(df, columns)
+    lines.write.mode("overwrite").text(f"{path}/filas")
+    df.sparkSession.createDataFrame([(",".join(columns),)], "linea string").coalesce(1).write.mode("overwrite").text(f"{path}/encabezado")
 
 
 def write_text(text: str, path: str) -> None:

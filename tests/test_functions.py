@@ -10,6 +10,7 @@ from tamiz.functions.phone import is_filler_phone, match_key, phone_norm, phone_
 from tamiz.functions.taxid import person_type, taxid_digits, taxid_doubtful, taxid_valid
 from tamiz.functions.text import fold, is_blank, locality_core, py_fold, signed
 
+# Published phones with their type and canonical number.
 PHONES = [
     ("+54 11 4161-7956", "fijo", "+541141617956"), ("+54 9 11 4161 7956", "celular", "+5491141617956"), ("549 11 4161 7956", "celular", "+5491141617956"),
     ("011 15 4161-7956", "celular", "+5491141617956"), ("11 15 6161 7956", "celular", "+5491161617956"), ("111561617956", "celular", "+5491161617956"),
