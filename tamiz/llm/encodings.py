@@ -54,6 +54,11 @@ def _decode(data: bytes, name: str) -> str | None:
     return "".join(map(_decoder(name).__getitem__, data))
 
 
+@lru_cache(maxsize=1)
+def _singles() -> tuple[tuple[tuple[str, str], ...], ...]:
+    return tuple(c for c in chains() if len(c) == 1)
+
+
 @lru_cache(maxsize=1)
 def chains() -> tuple[tuple[tuple[str, str], ...], ...]:
     """Every (written, read) mistake, and two UTF-8 mistakes one after the other."""
@@ -120,49 +125,76 @@ def table_rows(token: str) -> list[tuple[str, str, int]]:
     for word in sorted({token, token.lower(), token.upper(), token.title()}):
         out += [(g, word, i) for i, c in enumerate(chains()) if (g := garble(word, c)) is not None and g != word]
         lossy = {re.sub(r"[^\x00-\x7f]", r, word) for r in ("?", LOST, "??", LOST * 2)}
-        out += [(g, word, -1) for g in sorted(lossy) if g != word]
+        # Of a lossy form only its being one matters, not which word lost its letters.
+        out += [(g, "", -1) for g in sorted(lossy) if g != word]
     return out
 
 
-def restore(value: str, hits: list[tuple[str, str, int]]) -> str | None:
+#: Mistakes, one upon the other, that are undone on a value no word of which is in the table.
+DEPTH = 3
+_PIECES = re.compile(f"({TOKEN_SPLIT})")
+
+
+def restore(value: str, hits: list[tuple[str, str, int]], depth: int = DEPTH) -> str | None:
     """The value before the damage, '' if characters were lost, None if it isn't broken.
 
     `hits` are the table's (token, original, chain) for tokens of the value. The chains they name are undone on the
     whole value; if none explains all of it, the verified originals replace their tokens. A value with
-    no hit is tried against the chains that prove themselves.
+    no hit is tried against mistakes that prove themselves, up to `depth` of them one upon the other.
     """
     if LOST in value:
         return ""
     if any(c < 0 for _, _, c in hits):
         return ""
-    named = sorted({c for _, _, c in hits})
-    best = _best(value, named)
+    best = _best(value, sorted({c for _, _, c in hits}))
     if best is None and hits:
-        best = value
-        for token, original, _ in sorted(hits, key=lambda h: (-len(h[0]), h)):
-            best = best.replace(token, original)
-        return best
+        first = {token: original for token, original, _ in sorted(hits, reverse=True)}
+        return "".join(first.get(piece, piece) for piece in _PIECES.split(value))
     if best is None and not value.isascii():
-        # UTF-8 sequences prove themselves; a single-byte mistake needs a character that no clean text has.
-        odd = not set(value) <= _usual()
-        best = _best(value, [i for i, c in enumerate(chains()) if odd or c[0][0] == "utf-8"], strict=True)
+        found = sorted(_peeled(value, depth, 1))
+        best = found[0][-1] if found else None
     if best is None and "¿" not in value and _INNER_LOSS.search(value):
         return ""
     return best
 
 
-def _best(value: str, numbers, strict: bool = False) -> str | None:
+def _peeled(value: str, depth: int, other: int, past: tuple[int, ...] = ()) -> list[tuple]:
+    """Ranked readings of a value without its mistakes, outermost first.
+
+    UTF-8 sequences prove themselves, so each such mistake may be undone; beside them at most `other` single-byte mistakes, and only where
+    a character is one that no clean text has. A reading counts only with the letters of the languages at hand.
+    """
+    out = []
+    odd = not set(value) <= _usual()
+    for i, chain in enumerate(_singles()):
+        utf = chain[0][0] == "utf-8"
+        if not utf and not (odd and other):
+            continue
+        t = undo(value, (chain[0],))
+        if t is None or t == value:
+            continue
+        clean = set(t) <= _usual()
+        if clean and not any(not ch.isascii() and ch not in _COMMON for ch in t):
+            out.append((*_worth(t), not utf, -len(past), (i, *past), t))
+        if depth > 1 and not t.isascii():
+            # What is read here may itself be damaged; a second single-byte mistake proves nothing.
+            out += _peeled(t, depth - 1, other - (not utf), (i, *past))
+    return out
+
+
+def _worth(text: str) -> tuple[int, int, int]:
+    """(odd characters, unclean words, rare letters); less is better."""
+    odd = sum(ch not in _usual() for ch in text)
+    unclean = sum(not is_clean_word(w) for w in re.split(rf"[{MARKS}\xa0\x00-@\[-`{{-~]+", text) if w)
+    return odd, unclean, sum(not ch.isascii() and ch not in _COMMON for ch in text)
+
+
+def _best(value: str, numbers) -> str | None:
     found = []
     for i in numbers:
         t = undo(value, chains()[i])
-        if t is None or t == value or (strict and not set(t) <= _usual()):
-            continue
-        odd = sum(ch not in _usual() for ch in t)
-        rare = sum(not ch.isascii() and ch not in _COMMON for ch in t)
-        if strict and rare:
-            continue
-        unclean = sum(not is_clean_word(w) for w in re.split(rf"[{MARKS}\xa0\x00-@\[-`{{-~]+", t) if w)
-        found.append((odd, unclean, rare, chains()[i][0][0] != "utf-8", -len(chains()[i]), i, t))
+        if t is not None and t != value:
+            found.append((*_worth(t), chains()[i][0][0] != "utf-8", -len(chains()[i]), i, t))
     return min(found)[-1] if found else None
 
 
@@ -196,6 +228,9 @@ def broken_values(cells, corpora: list | None = None):
         texts = texts.unionByName(other.select("valor"))
     words = _spread(texts.where(F.col("valor").rlike(r"[^\x00-\x7F]")), F.col("valor"), rf"{TOKEN_SPLIT}|\u00A0").where(odd)
     words = cut(words.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    spark = cells.sparkSession
+    # A few words make many forms: every core gets its share of the words, however small their table is.
+    spread = words.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def forms(batches):
         import pandas as pd
@@ -204,7 +239,7 @@ def broken_values(cells, corpora: list | None = None):
             rows = [(*r, int(n)) for t, n in zip(pdf["token"], pdf["n"]) if is_clean_token(t) for r in table_rows(t)]
             yield pd.DataFrame(rows, columns=["token", "original", "cadena", "n_original"])
 
-    table = words.mapInPandas(forms, "token string, original string, cadena int, n_original bigint")
+    table = spread.mapInPandas(forms, "token string, original string, cadena int, n_original bigint")
 
     def marked(batches):
         for pdf in batches:
