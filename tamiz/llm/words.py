@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 #: Text that is worked on at once inside a batch, so that temporary columns stay small however long the texts are.
 SLICE_BYTES = 8 << 20
-#: Bits of the filter that stands for a set of hashes; its size doesn't depend on the set, a fuller one only lets more through.
-FILTER_BITS = 1 << 24
+#: A filter that stands for a set of hashes has 16 bits for each, within these bounds; a fuller one only lets more through.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 _BUCKET_BITS = 32_768
 _STEP = 0x9E3779B97F4A7C15
 
@@ -111,15 +111,17 @@ def runs(code, k: int):
 
 
 def bit_filter(hashes: DataFrame, column: str):
-    """Broadcast numpy bit set of FILTER_BITS bits for the hashes in `column`: no member is ever missed, some others pass.
+    """Broadcast numpy bit set for the hashes in `column`: no member is ever missed, some others pass.
 
-    The executors combine 4 KB bitmaps; the driver gets the finished filter, at most FILTER_BITS / 8 bytes whatever the set.
+    The executors combine 4 KB bitmaps; the driver gets the finished filter, at most MOST_BITS / 8 bytes (32 MB) whatever the set.
+    `hashes` is counted first and should be materialised.
     """
     import numpy as np
 
-    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * hashes.count()).bit_length()))
+    bit = F.pmod(F.col(column), F.lit(size))
     parts = hashes.select(F.floor(bit / _BUCKET_BITS).cast("int").alias("b"), (bit % _BUCKET_BITS).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in parts.toLocalIterator():
         out[r["b"] * _BUCKET_BITS // 8 : (r["b"] + 1) * _BUCKET_BITS // 8] = np.frombuffer(bytes(r["m"]), np.uint8)
     return hashes.sparkSession.sparkContext.broadcast(out)
@@ -129,5 +131,5 @@ def passes(bits, h):
     """Which of the hashes may be members."""
     import numpy as np
 
-    at = h & np.uint64(FILTER_BITS - 1)
+    at = h & np.uint64(8 * len(bits) - 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -44,6 +44,20 @@ def test_consolidate(spark):
     assert components.consolidate(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_consolidate_hub(spark, monkeypatch):
+    """A vertex that a third and more of all edges meet at, with chain ends, leaves and rings around it."""
+    from tamiz.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "HOT_SHARE", 50)
+    hub = [(0, i) for i in range(1, 400)]
+    ends = [(i, 1000 + i) for i in range(1, 200)] + [(1000 + i, 2000) for i in range(1, 200)]
+    more = [(3000 + i, 3001 + i) for i in range(40)] + [(2000, 3000), (5000, 5001), (5001, 5002), (5002, 5000)]
+    edges = hub + ends + more
+    got = {r["id"]: r["grupo"] for r in components.consolidate(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == union_find(edges)
+
+
 SALIDA = "id_fila long, archivo_id int, nombre string, cuil string, telefono string, localidad string, origen string, fecha_carga string, telefono_norm string, cuil_norm string, telefono_match string, duplicado_de long, valor string"
 
 
@@ -74,7 +88,25 @@ def test_value_truth(spark):
     p = survivors.value_truth(spark.createDataFrame(claims + [(None, "c", "x", 1), (1, "c", None, 1)], "objeto long, campo string, valor string, fuente int")).collect()
     right = sum((r["probabilidad"] > 0.5) == r["valor"].startswith("v") for r in p)
     assert right / len(p) > 0.9
-    assert survivors.value_truth(spark.createDataFrame([], "objeto long, campo string, valor string, fuente int")) is not None
+    assert survivors.value_truth(spark.createDataFrame([], "objeto long, campo string, valor string, fuente int")).count() == 0
+    again = survivors.value_truth(spark.createDataFrame(claims * 2, "objeto long, campo string, valor string, fuente int")).collect()
+    assert sorted((r["objeto"], r["valor"], round(r["probabilidad"], 6)) for r in again) == sorted((r["objeto"], r["valor"], round(r["probabilidad"], 6)) for r in p)
+
+
+def test_source_quality_settles(spark):
+    claims = spark.createDataFrame([(o, "c", f"v{o}", s) for o in range(20) for s in range(3)], "objeto long, campo string, valor string, fuente int")
+    patterns = survivors.claim_patterns(claims).groupBy("patron").count().withColumnRenamed("count", "n")
+    rates, judged = survivors.source_quality(patterns)
+    assert judged.count() == 1 and judged.first()["n"] == 20 and rates.count() == 3
+    with pytest.raises(RuntimeError):
+        survivors.source_quality(patterns, tolerance=-1.0, max_rounds=2)
+
+
+def test_agreement(spark, tmp_path):
+    rows = [(1, 1, "Ana", "20-12345678-6", "x", "A", "", "2026-01-01", "", "20123456786", "", None, "e"), (2, 1, "Eva", "", "y", None, " ", "01/02/2026", "+541145551111", "", "1145551111", 1, "e"), (3, 2, "Eva", "", "z", "B", "web", "ayer", "+541145551112", "", "1145551112", 2, "e")]
+    spark.createDataFrame(rows, SALIDA).write.parquet(f"{tmp_path}/salida_adv1.parquet")
+    got = {r["campo"]: r for r in survivors.agreement(spark, str(tmp_path)).collect()}
+    assert (got["cuil"]["casos"], got["cuil"]["iguales"], got["cuil"]["disputados"]) == (1, 1, 0) and got["nombre"]["disputados"] == 1
 
 
 def test_groups_by_keys(spark):
@@ -105,19 +137,22 @@ def test_distance():
 PLACES = [(1, "Colonia Norte"), (2, "Colonia Verde"), (3, "Colonia Vieja"), (4, "Villa Ñandú"), (5, "Villa Ñandú Chico"), (6, "Orlundo"), (7, "General Paz"), (8, "General Roca"), (9, "General Soler"), (10, "Villa Elisa")]
 
 
+NOISE = frozenset("loc barrio cp de".split())
+
+
 @pytest.mark.parametrize("typed,want", [
     ("Villa Ñandú", 4), ("villa nandu", 4), ("VILLA ÑANDÚ CHICO", 5), ("Villa Ñandú Chiico", 5), ("Loc. Villa Ñandú (pdo. de X)", 4), ("Gral. Soler, Provincia", 9), ("Ñandú CP 1234", 4), ("GeneralRoca", 8),
     ("Villa Ã\x91andÃº", 4), ("Orlnudo", 6), ("barrio Orlundo", 6), ("Col. Berde", 2), ("xxx", 0), ("1234", 0), ("", 0), (" ", 0), ("?", 0), ("General", 0), ("z" * 5000, 0),
 ])
 def test_places(typed, want):
-    assert mapping.Matcher(PLACES).match(typed) == want
+    assert mapping.Matcher(PLACES, NOISE).match(typed) == want
 
 
 @pytest.mark.parametrize("typed,want", [
     ("Provincia X, Villa Elisa", 10), ("- Villa Elisa", 10), ("(Villa Elisa)", 10), ("xxx (yyy; Orlnudo)", 6), ("xxx / yyy / Gral. Soler", 9), ("xxx - Orlundo", 6), ("Villa Elisa, Orlundo", 10), ("Orlundo (Villa Elisa)", 6), ("xxx, yyy", 0), ("(", 0), (", -", 0),
 ])
 def test_later_parts(typed, want):
-    assert mapping.Matcher(PLACES).match(typed) == want
+    assert mapping.Matcher(PLACES, NOISE).match(typed) == want
 
 
 @pytest.mark.parametrize("typed,want", [("Jlao", 1), ("Jaol", 1), ("Jalo", 1), ("Olbarond", 2), ("Oblrando", 2), ("Muxe", 0), ("Nlao", 0)])
@@ -129,6 +164,19 @@ def test_swapped_names(typed, want):
     assert m.match(typed) == want
 
 
+def test_noise_words(spark):
+    """Words around several names are noise; a misspelt name word, a rare word and the words of names aren't."""
+    typed = [f"{w} {n}" for w in ("ciudad de", "loc.") for _, n in PLACES] + ["Orlundo casa", "Vila Elisa", "Villa Nandu Chco", "xxx yyy", "General Roca"] + [f"Orlundo {i}a" for i in range(30)]
+    values = spark.createDataFrame([(v,) for v in typed], "valor string")
+    assert mapping.noise_words(values, PLACES) == {"ciudad", "de", "loc"}
+    assert mapping.noise_words(values.limit(0), PLACES) == frozenset() and mapping.noise_words(values, []) == frozenset()
+
+
+def test_abbreviations():
+    m = mapping.Matcher(PLACES)
+    assert [m.expanded(w) for w in ("gral", "gnral", "col", "c", "vla", "v", "general", "x", "norte")] == ["general", "general", "colonia", "colonia", "villa", "villa", "general", "x", "norte"]
+
+
 def test_map_values(spark):
     cells = spark.createDataFrame([(1, "Orlnudo", "a"), (1, "Orlnudo", "a"), (2, None, "b"), (3, "Orlundo", "c")], "lead_id long, valor string, nombre string")
     entries = spark.createDataFrame([(6, "Orlundo"), (2, "Orlundo"), (9, None), (8, " ")], "ref_id long, nombre string")
@@ -148,6 +196,20 @@ def test_chains_round_trip():
                 assert encodings.undo(g, c) == text
 
 
+@pytest.mark.parametrize("names", [("utf-8",), ("utf-8",) * 2, ("utf-8",) * 3, ("cp850", "utf-8"), ("utf-8", "cp1252/cp850"), ("utf-8", "cp1252/mac_roman", "utf-8")])
+def test_deep_chains(names):
+    """Mistakes upon mistakes are undone without the table, if UTF-8 proves them; clean text stays."""
+    chain = tuple(tuple(n.split("/")) if "/" in n else (n, "cp1252") for n in names)
+    for text in ("Peñón Güemes", "Begoña Núñez", "ColoniaCalgúlundo"):
+        assert encodings.restore(encodings.garble(text, chain), []) == text
+        assert encodings.restore(text, []) is None
+
+
+def test_pieces():
+    """An original replaces whole tokens only."""
+    assert encodings.restore("PeÃ±a xPeÃ±a \u0416", [("PeÃ±a", "Peña", 0)]) == "Peña xPeÃ±a \u0416"
+
+
 def test_broken_values(spark):
     clean = ["Begoña Núñez", "Óscar Peñón", "João «Tito» Weiß", "Ana", "Peñón", "¿llamar?", "NÃO", None, "", "Zoë (?)", "Calle 2 nº 5"]
     damaged = {
@@ -190,6 +252,38 @@ def test_encode_corpus(spark):
     assert tokens.encode_corpus(docs.limit(0)).count() == 0
 
 
+def test_words():
+    """Vectorised folding is that of the standard library, whatever the slices."""
+    import pyarrow as pa
+
+    from tamiz.llm import words as W
+
+    texts = ["Ñandú, ÁRBOL-7 x\u0301y", None, "", "  ", "İstanbul ſtraße K 12é", "日本 abc\n\nd", "a" * 70_000 + " b", "ａｂｃ ½ ²"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])
+    want = [re.findall("[a-z0-9]+", "".join(c for c in unicodedata.normalize("NFD", (t or "").lower()) if not "\u0300" <= c <= "\u036f")) for t in texts]
+    for size in (8 << 20, 1000, 1):
+        W.SLICE_BYTES, kept = size, W.SLICE_BYTES
+        got = []
+        for part in W.slices(batch, "t"):
+            w = W.split_words(W.lowered(part.column("t")))
+            got += [[w.vocabulary[i] for i in w.index[a : a + n]] for a, n in zip(w.start, w.size)]
+        W.SLICE_BYTES = kept
+        assert got == want
+    broken = pa.array([b"abc \xff def", b"x"], pa.binary()).view(pa.string())
+    assert [W.split_words(W.lowered(broken)).vocabulary] == [["abc", "def", "x"]]
+
+
+def test_bit_filter(spark):
+    from tamiz.llm import words as W
+
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    inside = rnd.integers(-(2**63), 2**63 - 1, 5000, dtype=np.int64)
+    bits = W.bit_filter(spark.createDataFrame([(int(x),) for x in inside], "h long"), "h").value
+    assert W.passes(bits, inside.view(np.uint64)).all() and W.passes(bits, rnd.integers(0, 2**63, 5000, dtype=np.int64).view(np.uint64)).mean() < 0.1
+
+
 @pytest.mark.parametrize("small", [200_000, 3])
 def test_leaks_brute(spark, small):
     rnd = random.Random(9)
