@@ -46,8 +46,36 @@ def test_skewed_lookup(spark, monkeypatch, weight):
         assert sorted(map(str, skew.skewed_lookup(big, table, "k", how, weight=weight).select("i", "k", "m").collect())) == want
 
 
+def test_null_keys_stay(spark):
+    """Rows with a null key keep their partitions in a left lookup, however many there are."""
+    big = spark.range(0, 400, 1, 8).selectExpr("id i", "if(id % 4 = 0, cast(id % 20 as string), null) k")
+    table = spark.createDataFrame([("0", 1), ("4", 2)], "k string, m int")
+    out = skew.skewed_lookup(big, table, "k", "left")
+    assert out.count() == 400 and out.where("k is null and m is null").count() == 300 and out.where("m = 2").count() == 20
+    assert out.where("k is null").select(F.spark_partition_id()).distinct().count() >= 8
+
+
 def test_positions(spark):
     df = spark.range(500).select((F.col("id") * 7919 % 500).alias("x"))
     got = with_position(df, [F.col("x").desc()], "pos").collect()
     assert sorted((r["pos"], r["x"]) for r in got) == [(i + 1, 499 - i) for i in range(500)]
     assert with_position(df.limit(0), [F.col("x")], "pos").count() == 0
+
+
+def test_checkpoint_folder():
+    """A cluster without a shared folder is refused; a single machine gets its own."""
+    from types import SimpleNamespace
+
+    from tamiz.session import ensure_checkpoint_dir
+
+    set_to = []
+    fake = lambda master, named: SimpleNamespace(
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=set_to.append), conf=SimpleNamespace(get=lambda k, d=None: named)
+    )
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(fake(master, None))
+        ensure_checkpoint_dir(fake(master, "hdfs://shared/x/"))
+    assert all(x.startswith("hdfs://shared/x/") for x in set_to) and len(set_to) == 3
+    ensure_checkpoint_dir(fake("local[4]", None))
+    assert len(set_to) == 4
