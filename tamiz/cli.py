@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--fecha-corte")
     a.add_argument("--salida-dir", default="salidas")
     a.add_argument("--fase", default="14", choices=PLANS)
-    a.add_argument("--particionado", action="store_true", help="tables as folders of part files, written by the executors")
+    a.add_argument("--particionado", action="store_true", help="tables as folders of part files, written by the executors; always so for a folder of files")
     try:
         o = a.parse_args(argv)
     except SystemExit as e:
@@ -55,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     shutil.rmtree(whole_lists(str(paths["ficha_entrada"])), ignore_errors=True)
     spark = build_session()
     try:
-        if "://" not in o.archivo and Path(o.archivo).is_dir():
+        folder = "://" not in o.archivo and Path(o.archivo).is_dir()
+        if folder:
             leads, verdicts = read_folder(spark, o.archivo, mapping)
             verdicts.orderBy("archivo").write.mode("overwrite").json(str(paths["ficha_entrada"].with_suffix("")))
             leads = numbered(leads.withColumn("extra_archivo", F.col("archivo")).withColumn("extra_columnas", F.when(F.size("extras") > 0, F.to_json("extras")).otherwise("")))
@@ -63,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
             leads, _ = read_leads(spark, o.archivo, mapping, on_profile=lambda p: p.write(str(paths["ficha_entrada"])))
         sets = optout_sets(read_optout(spark, o.baja))[:2] if o.baja else None
         def write(df, columns, path: Path) -> None:
-            if o.particionado:
+            if o.particionado or folder:
                 write_partitioned_csv(df, columns, str(path.with_suffix("")))
             else:
                 write_csv(df, columns, str(path))

@@ -1,6 +1,7 @@
 """Adversary files, the dirty twin, folders of files, damaged files: literal expectations, none computed by the plans."""
 
 import csv
+import hashlib
 import io
 import json
 import zipfile
@@ -13,6 +14,7 @@ from tamiz.operators.compare import differences
 from tamiz.operators.rules import optout_sets
 from tamiz.plans.config import CANONICAL, PlanConfig
 from tamiz.plans.pipeline import AUDIT, COMMERCIAL, audit_columns, build, ranked
+from tamiz.sources.delimited import read_plain
 from tamiz.sources.folder import numbered, read_folder
 from tamiz.sources.gate import RejectedFile, read_leads, read_optout
 from tamiz.sources.sinks import write_csv, write_partitioned_csv
@@ -159,6 +161,16 @@ def book(path, rows):
         z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><t xml:space=\"preserve\">{s}</t></si>" for s in shared) + "</sst>")
 
 
+def test_plain(spark, data, tmp_path):
+    """The plain scan leads to the published bytes as well."""
+    done = build(read_plain(spark, str(data / "canonical.csv")), "08", PlanConfig(cutoff=CUTOFF))
+    # Fixed value: published digest of the audit table.
+    assert write_csv(ranked(done), list(AUDIT), str(tmp_path / "a.csv")) == 200
+    assert hashlib.sha256((tmp_path / "a.csv").read_bytes()).hexdigest() == "ae6fcc5f146d6ec59395b3fb09a5bbdfcd764303e762a287dfe6a44623fd9cd2"
+    (tmp_path / "q.csv").write_text('\ufeffa,b\n" x ","1 ""q""\n2"\n,\n', encoding="utf-8")
+    assert [tuple(r) for r in read_plain(spark, str(tmp_path / "q.csv")).orderBy("id_fila").collect()] == [(" x ", '1 "q"\n2', 1), ("", "", 2)]
+
+
 def test_optout_formats(spark, data, tmp_path):
     """The same list as text and as a spreadsheet with shared strings gives the same bytes."""
     with open(data / "optout_list.csv", encoding="utf-8-sig") as f:
