@@ -212,6 +212,9 @@ def broken_values(cells, corpora: list | None = None):
     string columns `valor` of `corpora`. Work is on distinct words: each distinct clean word is garbled once, and only tokens with
     a character beyond ASCII or a question mark are looked up. A token that is clean itself counts as garbled only if it is not
     more frequent than its original. Null and empty values are never broken; an empty table gives no rows.
+
+    No join here may broadcast on Spark's estimate: it sizes the table of forms by its words, each of which makes a hundred forms, and
+    the tokens by the compressed files, and would send the driver more than it can hold.
     """
     from pyspark.sql import functions as F
 
@@ -248,13 +251,13 @@ def broken_values(cells, corpora: list | None = None):
     broken = cut(cells.where(suspect))
     tokens = _spread(broken.select(*keys, "valor"), F.col("valor"), TOKEN_SPLIT).where(F.col("token").rlike(r"[^\x00-\x7F]|\?") & F.col("token").rlike(r"[^\x00-@\[-`{-~]"))
     tokens = cut(tokens.select(*keys, "token").distinct())
-    asked = tokens.select("token").distinct().join(words, "token", "left").na.fill(0, ["n"]).mapInPandas(marked, "token string, n bigint, limpio boolean")
-    hit = asked.join(table, "token").where("not limpio or n_original >= n")
+    asked = tokens.select("token").distinct().join(words.hint("merge"), "token", "left").na.fill(0, ["n"]).mapInPandas(marked, "token string, n bigint, limpio boolean")
+    hit = asked.join(table.hint("merge"), "token").where("not limpio or n_original >= n")
     hit = hit.groupBy("token").agg(F.collect_set(F.struct("original", "cadena")).alias("hits"))
-    per = skewed_lookup(tokens, hit, "token")
+    per = skewed_lookup(tokens, hit.hint("merge"), "token")
     per = per.select(*keys, F.transform("hits", lambda h: F.struct(F.col("token").alias("token"), h["original"].alias("original"), h["cadena"].alias("cadena"))).alias("hits"))
     per = per.groupBy(*keys).agg(F.flatten(F.collect_list("hits")).alias("hits"))
-    rows = broken.join(per, keys, "left")
+    rows = broken.join(per.hint("merge"), keys, "left")
     schema = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys) + ", texto string"
 
     def mend(batches):

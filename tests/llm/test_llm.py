@@ -223,6 +223,15 @@ def test_broken_values(spark):
     assert encodings.broken_values(t.limit(0)).count() == 0
 
 
+def test_forms_not_broadcast(spark):
+    """A word makes a hundred forms, which Spark's estimate of the table doesn't know: nothing is broadcast on an estimate."""
+    t = spark.createDataFrame([(1, "Begoña"), (2, "BegoÃ±a"), (3, "Ana?")], "lead_id long, valor string")
+    out = encodings.broken_values(t)
+    assert {tuple(r) for r in out.collect()} == {(2, "Begoña")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @needs_vocabulary
 def test_tree_encoding():
     from tokenizers import Tokenizer
